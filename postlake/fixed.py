@@ -83,8 +83,10 @@ SPACE = (
     r"\s\x{0b}\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
     r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 )
-URLS = f"http[^{SPACE}]+|www.[^{SPACE}]+"
-DROPPED = rf"[^\p{{L}}\p{{N}}_{SPACE}.,!?\-]"
+URLS = rf"http[^{SPACE}]+|www[^\n][^{SPACE}]+"
+URL_STARTS = ("http", "www")
+KEPT = r"\p{L}\p{N}_.,!?\-"
+DROPPED = f"[^{KEPT}{SPACE}]"
 SPACES = f"[{SPACE}]+"
 NON_WORD = r"[^\p{L}\p{N}_]+"
 EDGE_SPACE = f"^[{SPACE}]+|[{SPACE}]+$"

@@ -14,11 +14,17 @@ from postlake.fixed import Lexicon
 
 
 def clean_text(text: Column) -> Column:
-    """Lower case, no URLs, only letters, digits, ``_ . , ! ? -`` and single spaces. NULL gives ''."""
-    text = F.lower(F.coalesce(text, F.lit("")))
-    text = F.regexp_replace(text, fixed.URLS, "")
-    text = F.regexp_replace(text, fixed.DROPPED, "")
-    return F.trim(F.regexp_replace(text, fixed.SPACES, " "))
+    """Lower case, no URLs, only letters, digits, ``_ . , ! ? -`` and single spaces. NULL gives ''.
+
+    Two things halve the time: texts without the start of a URL skip that pass, and the last pass takes
+    white space as what is none of the kept characters (all that is left by then), which a letter fails
+    at its first test.
+    """
+    lowered = F.lower(F.coalesce(text, F.lit("")))
+    may_link = reduce(or_, [F.contains(lowered, F.lit(start)) for start in fixed.URL_STARTS])
+    unlinked = F.when(may_link, F.regexp_replace(lowered, fixed.URLS, "")).otherwise(lowered)
+    kept = F.regexp_replace(unlinked, fixed.DROPPED, "")
+    return F.trim(F.regexp_replace(kept, f"[^{fixed.KEPT}]+", " "))
 
 
 def word_count(cleaned: Column, empty_is_one: bool = False) -> Column:

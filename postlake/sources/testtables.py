@@ -37,7 +37,8 @@ def posts(spark: SparkSession, folder: str) -> DataFrame:
     """One post per event. Its title is the first line of a document, its body all that follows.
 
     Document ids run from 0, so event n takes document n mod the number of documents. Titles and bodies
-    are cut before the join, and a query that needs no body does not carry it along.
+    are cut before the join, and a query that needs no body does not carry it along. Both tables grow, so
+    neither is broadcast; the merge join also spreads the posts over tasks where a table is a single file.
     """
     texts = documents(spark, folder)
     how_many = texts.agg(F.count(F.lit(1))).scalar()
@@ -48,7 +49,7 @@ def posts(spark: SparkSession, folder: str) -> DataFrame:
         F.when(cut > 0, F.substr("text", cut + 1)).alias("body"),
     )
     keyed = events(spark, folder).withColumn("doc_id", F.col("event_id") % how_many)
-    return keyed.join(lines, "doc_id").select(
+    return keyed.join(lines.hint("merge"), "doc_id").select(
         F.col("event_id").cast("string").alias("post_id"),
         F.col("event_type").alias("subreddit"),
         "title",
