@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from postlake import schema
 from postlake.operators import bronze, silver
 from postlake.plans.layers import Layout
-from postlake.session import shared_folder, use_utc
+from postlake.session import shared_folder, tune
 from postlake.sinks import files as sink
 from postlake.sources import files, messages, testtables
 from postlake.sources.testtables import FRAGMENTS
@@ -33,10 +33,10 @@ def query(sql: str | None = None) -> Callable[[Run], Run]:
     """Register a function under its own name, with the SQL that gives the same rows."""
 
     def register(run: Run) -> Run:
-        def in_utc(spark: SparkSession, folder: str) -> DataFrame:
-            return run(use_utc(spark), folder)
+        def tuned(spark: SparkSession, folder: str) -> DataFrame:
+            return run(tune(spark), folder)
 
-        CATALOG[run.__name__] = Query(in_utc, sql)
+        CATALOG[run.__name__] = Query(tuned, sql)
         return run
 
     return register
