@@ -91,5 +91,6 @@ SPACES = f"[{SPACE}]+"
 NON_WORD = r"[^\p{L}\p{N}_]+"
 EDGE_SPACE = f"^[{SPACE}]+|[{SPACE}]+$"
 
-# How bronze is laid out.
+# How bronze and silver are laid out.
+SILVER_PARTITIONS = ("subreddit",)
 BRONZE_PARTITIONS = ("subreddit", "partition_year", "partition_month", "partition_day")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -96,13 +98,19 @@ def build(
     lexicon: Lexicon = fixed.BATCH,
     match: str = "substring",
     reference_compat: bool = False,
+    spread_by: Sequence[str] = (),
 ) -> DataFrame:
     """Deduplicated, enriched and normalised posts.
 
     The range is taken over the kept rows. Finding it needs only the columns that lead the dedup order,
     so the second pass reads four narrow columns and never the texts.
+
+    For a table in folders, ``spread_by`` names the folder columns: rows are gathered by them before the
+    features are added, which moves half the bytes that doing so at the write would.
     """
     kept = dedup.drop_duplicates(bronze)
     narrow = bronze.select("post_id", "ingestion_timestamp", "row_hash", "score")
     scored = add_normalized_score(kept, over=dedup.drop_duplicates(narrow))
+    if spread_by:
+        scored = scored.hint("rebalance", *spread_by)
     return enrich(scored, lexicon, match, reference_compat).select(*schema.SILVER.names)

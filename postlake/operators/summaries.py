@@ -108,50 +108,53 @@ def manifest(bronze: DataFrame, batch_id: str, source: str) -> DataFrame:
 def insights(posts: DataFrame, k: int = 5) -> DataFrame:
     """One row: totals, subreddits, time range, top topics, best topic and busiest hour.
 
-    Posts are read once into a small cube (topic x subreddit x hour); every figure comes from it. Best
-    topic compares rounded means, as shown; ties go to the smallest topic or hour.
+    Posts are read once and counted into a small cube (topic x subreddit x hour); grouping sets over the
+    cube give every figure. Best topic compares rounded means, as shown; ties go to the smallest topic
+    or hour.
     """
-    cube = posts.groupBy("primary_topic", "subreddit", "hour_of_day").agg(
+    cube = posts.groupBy("primary_topic", "hour_of_day", "subreddit").agg(
         F.count(F.lit(1)).alias("n"),
         F.sum("score").alias("points"),
         F.count("score").alias("scored"),
         F.min("created_datetime").alias("first"),
         F.max("created_datetime").alias("last"),
     )
-    mean = F.try_divide(F.sum("points"), F.sum("scored"))
-    by_topic = cube.groupBy(F.col("primary_topic").alias("topic")).agg(
-        F.sum("n").alias("n"), F.round(mean, 2).alias("mean")
-    )
-    by_hour = cube.groupBy(F.col("hour_of_day").alias("hour")).agg(F.sum("n").alias("n"))
-
-    most = by_topic.orderBy(F.desc("n"), "topic").limit(k).withColumn("__by", F.struct(-F.col("n"), "topic"))
-    listed = F.transform(
-        F.sort_array(F.collect_list(F.struct("__by", "topic", "n"))),
-        lambda entry: F.struct(entry["topic"].alias("topic"), entry["n"].alias("count")),
-    )
-    best = by_topic.orderBy(F.col("mean").desc_nulls_last(), "topic").limit(1)
-    peak = by_hour.orderBy(F.desc("n"), "hour").limit(1)
-
-    total = cube.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("total_posts"),
-        F.sort_array(F.collect_set("subreddit")).alias("subreddits"),
+    topic, hour, subreddit = F.col("primary_topic"), F.col("hour_of_day"), F.col("subreddit")
+    figures = cube.groupingSets([[topic], [hour], [subreddit], []], topic, hour, subreddit).agg(
+        F.grouping_id().alias("grouping"),
+        F.sum("n").alias("n"),
+        F.try_divide(F.sum("points"), F.sum("scored")).alias("exact"),
+        F.min("first").alias("first"),
+        F.max("last").alias("last"),
+    ).withColumn("mean", F.round("exact", 2))
+    # The id has a bit for each column that is not grouped by.
+    per_topic, per_hour, per_subreddit, overall = (F.col("grouping") == g for g in (0b011, 0b101, 0b110, 0b111))
+
+    ranked = F.struct((-F.col("n")).alias("rank"), topic.alias("topic"), F.col("n").alias("count"))
+    by_mean = F.struct((-F.col("mean")).alias("rank"), topic.alias("topic"), F.col("mean").alias("mean"))
+    by_count = F.struct((-F.col("n")).alias("rank"), hour.alias("hour"), F.col("n").alias("n"))
+    row = figures.agg(
+        F.coalesce(F.max(F.when(overall, F.col("n"))), F.lit(0)).alias("total_posts"),
+        F.sort_array(F.collect_list(F.when(per_subreddit, subreddit))).alias("subreddits"),
         F.min("first").alias("start"),
         F.max("last").alias("end"),
-        mean.alias("__mean"),
+        F.sort_array(F.collect_list(F.when(per_topic, ranked))).alias("ranked"),
+        F.min(F.when(per_topic & F.col("mean").isNotNull(), by_mean)).alias("best"),
+        F.min(F.when(per_hour, by_count)).alias("peak"),
+        F.max(F.when(overall, F.col("exact"))).alias("overall"),
+    )
+    listed = F.transform(
+        F.slice("ranked", 1, k), lambda t: F.struct(t["topic"].alias("topic"), t["count"].alias("count"))
     )
-    filled = total.withColumns({
-        "top_topics": most.agg(listed).scalar(),
-        "__best": best.select(F.struct("topic", "mean")).scalar(),
-        "__peak": peak.select(F.struct("hour", "n")).scalar(),
-    })
-    above = (F.try_divide(F.col("__best.mean"), F.col("__mean")) - 1) * 100
-    return filled.select(
-        "total_posts", "subreddits", "start", "end", "top_topics",
-        F.col("__best.topic").alias("best_topic"),
-        F.col("__best.mean").alias("best_avg"),
+    above = (F.try_divide(F.col("best.mean"), F.col("overall")) - 1) * 100
+    return row.select(
+        "total_posts", "subreddits", "start", "end",
+        listed.alias("top_topics"),
+        F.col("best.topic").alias("best_topic"),
+        F.col("best.mean").alias("best_avg"),
         F.bround(above, 0).alias("pct_above_mean"),
-        F.col("__peak.hour").alias("peak_hour"),
-        F.col("__peak.n").alias("peak_count"),
+        F.col("peak.hour").alias("peak_hour"),
+        F.col("peak.n").alias("peak_count"),
     )
 
 

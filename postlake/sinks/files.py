@@ -12,16 +12,21 @@ from postlake import fixed
 
 
 def write_partitioned(
-    df: DataFrame, path: str, keys: Sequence[str], mode: str = "overwrite", dynamic: bool = False
+    df: DataFrame,
+    path: str,
+    keys: Sequence[str],
+    mode: str = "overwrite",
+    dynamic: bool = False,
+    spread: bool = True,
 ) -> None:
     """Snappy Parquet with one folder per key value.
 
     The rebalance hint gathers the rows of a folder into few files, and adaptive execution splits the
-    folders that hold far more rows than others. With ``dynamic`` an overwrite replaces only the folders
-    it has rows for.
+    folders that hold far more rows than others. Say ``spread=False`` for rows that already are gathered.
+    With ``dynamic`` an overwrite replaces only the folders it has rows for.
     """
-    spread = df.hint("rebalance", *keys)
-    writer = spread.write.mode(mode).partitionBy(*keys).option("compression", "snappy")
+    gathered = df.hint("rebalance", *keys) if spread else df
+    writer = gathered.write.mode(mode).partitionBy(*keys).option("compression", "snappy")
     if dynamic:
         writer = writer.option("partitionOverwriteMode", "dynamic")
     writer.parquet(path)
@@ -31,8 +36,8 @@ def write_bronze(bronze: DataFrame, path: str, mode: str = "overwrite", dynamic:
     write_partitioned(bronze, path, fixed.BRONZE_PARTITIONS, mode, dynamic)
 
 
-def write_silver(silver: DataFrame, path: str, mode: str = "overwrite") -> None:
-    write_partitioned(silver, path, ["subreddit"], mode)
+def write_silver(silver: DataFrame, path: str, mode: str = "overwrite", spread: bool = True) -> None:
+    write_partitioned(silver, path, fixed.SILVER_PARTITIONS, mode, spread=spread)
 
 
 def write_tables(tables: dict[str, DataFrame], path: str) -> dict[str, str]:

@@ -7,7 +7,7 @@ def clean(text):
     if not text:
         return ""
     no_links = re.sub(r"http\S+|www.\S+", "", text.lower())
-    kept = "".join(ch for ch in no_links if ch.isalnum() or ch == "_" or ch.isspace() or ch in ".,!?-")
+    kept = re.sub(r"[^\w\s.,!?-]", "", no_links)
     return " ".join(kept.split())
 
 
