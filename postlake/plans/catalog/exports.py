@@ -52,7 +52,7 @@ def parquet_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     return table.filter((F.col("subreddit") == "view") & (F.col("partition_day") == 15))
 
 
-@query(f"WITH {sql.BRONZE} SELECT subreddit, count(*) AS posts, sum(score) AS points FROM dated GROUP BY subreddit")
+@query(f"WITH {sql.BRONZE} SELECT subreddit, count(*) AS posts, cast(sum(score) AS bigint) AS points FROM dated GROUP BY subreddit")
 def sql_view(spark: SparkSession, folder: str) -> DataFrame:
     """A written table registered as a SQL view and queried by SQL."""
     path = shared_folder(spark, "bronze")

@@ -77,7 +77,7 @@ def listed(items: str) -> str:
 
 
 def words(text: str) -> str:
-    return f"CASE WHEN {text} = '' THEN 0 ELSE len(string_split({text}, ' ')) END"
+    return f"cast(CASE WHEN {text} = '' THEN 0 ELSE len(string_split({text}, ' ')) END AS int)"
 
 
 PERIOD = (

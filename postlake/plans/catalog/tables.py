@@ -19,7 +19,7 @@ R = sql.rounded
 S = sql.steady
 
 DAILY = f"""{SILVER}, daily AS (
-  SELECT subreddit, date, count(*) AS total_posts, sum(score) AS total_score,
+  SELECT subreddit, date, count(*) AS total_posts, cast(sum(score) AS bigint) AS total_score,
     {R('avg(score)', 2)} AS avg_score, quantile_disc(score, 0.5) AS median_score, max(score) AS max_score,
     {S('stddev_samp(score)', 2)} AS score_std, {S('avg(sentiment_polarity)', 3)} AS avg_sentiment,
     {R('avg(title_word_count)', 1)} AS avg_title_length, {R('avg(entity_count)', 1)} AS avg_entity_count,
@@ -31,7 +31,7 @@ TRENDING = f"""{SILVER}, exploded AS (
   SELECT subreddit, date, unnest(topics) AS topic, score, sentiment_polarity, entity_count FROM silver
 ), mentioned AS (
   SELECT date, topic, subreddit, count(*) AS mention_count, {R('avg(score)', 2)} AS avg_score,
-    sum(score) AS total_score, {S('avg(sentiment_polarity)', 3)} AS avg_sentiment,
+    cast(sum(score) AS bigint) AS total_score, {S('avg(sentiment_polarity)', 3)} AS avg_sentiment,
     {R('avg(entity_count)', 1)} AS avg_entities
   FROM exploded GROUP BY date, topic, subreddit
 ), grown AS (
@@ -45,11 +45,11 @@ USERS = f"""{SILVER}, named AS (
     PARTITION BY author, subreddit, date ORDER BY count(*) DESC, primary_topic) AS place
   FROM silver GROUP BY author, subreddit, date, primary_topic
 ), grouped AS (
-  SELECT author, subreddit, date, count(*) AS post_count, sum(score) AS total_score,
+  SELECT author, subreddit, date, count(*) AS post_count, cast(sum(score) AS bigint) AS total_score,
     {R('avg(score)', 2)} AS avg_score, max(score) AS max_score,
     {S('avg(sentiment_polarity)', 3)} AS avg_sentiment,
     {sql.listed('list_sort(list(hour_of_day))')} AS active_hours,
-    count(DISTINCT hour_of_day) AS unique_hours, count(*) > 2 AS is_power_user
+    cast(count(DISTINCT hour_of_day) AS int) AS unique_hours, count(*) > 2 AS is_power_user
   FROM silver GROUP BY author, subreddit, date
 ), users AS (
   SELECT g.*, n.primary_topic AS most_common_topic FROM grouped g
@@ -58,7 +58,7 @@ USERS = f"""{SILVER}, named AS (
 
 HOURLY = f"""{SILVER}, counted AS (
   SELECT subreddit, hour_of_day, count(*) AS post_count, {R('avg(score)', 2)} AS avg_score,
-    sum(score) AS total_score, {S('avg(sentiment_polarity)', 3)} AS avg_sentiment,
+    cast(sum(score) AS bigint) AS total_score, {S('avg(sentiment_polarity)', 3)} AS avg_sentiment,
     count(*) FILTER (engagement_category = 'viral') AS viral_posts
   FROM silver GROUP BY subreddit, hour_of_day
 ), hourly AS (
@@ -285,7 +285,7 @@ def insight_texts(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(f"""
   WITH {sql.silver(fixed.BATCH)}, exploded AS (SELECT unnest(topics) AS topic, score FROM silver)
-  SELECT topic, count(*) AS mentions, sum(score) AS total_score FROM exploded GROUP BY topic
+  SELECT topic, count(*) AS mentions, cast(sum(score) AS bigint) AS total_score FROM exploded GROUP BY topic
 """)
 def topic_mentions(spark: SparkSession, folder: str) -> DataFrame:
     """Mentions by the default word lists, text features computed on the way."""

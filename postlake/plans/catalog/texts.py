@@ -123,7 +123,7 @@ def entities_whole_words(spark: SparkSession, folder: str) -> DataFrame:
 @query(f"""
   WITH {CLEANED} SELECT post_id, {sql.words('title_cleaned')} AS title_word_count,
     {sql.words('body_cleaned')} AS body_word_count, body_cleaned <> '' AS has_body,
-    length(title_cleaned) AS title_char_count FROM cleaned
+    cast(length(title_cleaned) AS int) AS title_char_count FROM cleaned
 """)
 def text_features(spark: SparkSession, folder: str) -> DataFrame:
     featured = silver.add_text_features(_cleaned(spark, folder))
@@ -131,8 +131,8 @@ def text_features(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query(f"""
-  WITH {CLEANED} SELECT post_id, len(string_split(title_cleaned, ' ')) AS title_word_count,
-    len(string_split(body_cleaned, ' ')) AS body_word_count, true AS has_body FROM cleaned
+  WITH {CLEANED} SELECT post_id, cast(len(string_split(title_cleaned, ' ')) AS int) AS title_word_count,
+    cast(len(string_split(body_cleaned, ' ')) AS int) AS body_word_count, true AS has_body FROM cleaned
 """)
 def text_features_compat(spark: SparkSession, folder: str) -> DataFrame:
     """The counts in which an empty text has one word."""
@@ -141,8 +141,8 @@ def text_features_compat(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query(f"""
-  WITH {sql.BRONZE} SELECT post_id, hour(created_datetime) AS hour_of_day,
-    dayofweek(created_datetime) + 1 AS day_of_week, dayname(created_datetime) AS day_name,
+  WITH {sql.BRONZE} SELECT post_id, cast(hour(created_datetime) AS int) AS hour_of_day,
+    cast(dayofweek(created_datetime) + 1 AS int) AS day_of_week, dayname(created_datetime) AS day_name,
     dayofweek(created_datetime) + 1 IN (1, 7) AS is_weekend,
     {sql.PERIOD.format('hour(created_datetime)')} AS time_period FROM bronze
 """)
@@ -206,7 +206,7 @@ def lexicon_matches(spark: SparkSession, folder: str) -> DataFrame:
     SELECT doc_id, len(parts) AS given, list_filter(list_transform(parts,
       lambda x: regexp_replace(x, '{fixed.EDGE_SPACE}', '', 'g')), lambda x: x <> '') AS comments FROM split
   )
-  SELECT doc_id, given, len(comments) AS kept, array_to_string(comments, '|') AS comments FROM kept
+  SELECT doc_id, cast(given AS int) AS given, cast(len(comments) AS int) AS kept, array_to_string(comments, '|') AS comments FROM kept
 """)
 def comment_items(spark: SparkSession, folder: str) -> DataFrame:
     """The lines of a document as a list of comments, stripped and without blank ones."""
@@ -230,7 +230,7 @@ def recent_posts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query(f"""
-  WITH {sql.BRONZE} SELECT post_id, row_hash, hour(created_datetime) AS hour FROM bronze
+  WITH {sql.BRONZE} SELECT post_id, row_hash, cast(hour(created_datetime) AS int) AS hour FROM bronze
 """)
 def row_hashes(spark: SparkSession, folder: str) -> DataFrame:
     posts = registry.raw_posts(spark, folder)

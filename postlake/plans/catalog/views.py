@@ -24,7 +24,7 @@ def _rounded(df: DataFrame, *columns: str) -> DataFrame:
 
 @query(f"""
   WITH {STREAMED} SELECT subreddit, cast(created_datetime AS date) AS date, count(*) AS total_posts,
-    sum(score) AS total_score, {S('avg(score)', 6)} AS avg_score, max(score) AS max_score,
+    cast(sum(score) AS bigint) AS total_score, {S('avg(score)', 6)} AS avg_score, max(score) AS max_score,
     {S('stddev_samp(score)', 6)} AS score_stddev, {S('avg(sentiment_score)', 6)} AS avg_sentiment,
     {S('avg(title_word_count)', 6)} AS avg_title_length, count(*) FILTER (has_body) AS posts_with_body,
     count(DISTINCT author) AS unique_authors
@@ -57,7 +57,7 @@ def mv_topic(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query(f"""
-  WITH {STREAMED} SELECT subreddit, count(*) AS total_posts, sum(score) AS total_score,
+  WITH {STREAMED} SELECT subreddit, count(*) AS total_posts, cast(sum(score) AS bigint) AS total_score,
     {R('avg(score)', 2)} AS avg_score, max(score) AS max_score, count(DISTINCT author) AS unique_authors,
     max(created_datetime) AS last_post_time
   FROM streamed GROUP BY subreddit
