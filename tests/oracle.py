@@ -73,7 +73,10 @@ def compare(spark, con, name: str, folder: str) -> str | None:
 
 def main() -> None:
     folder = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    spark = build_session("oracle", "local[8]", spark__sql__shuffle__partitions="8", spark__ui__enabled="false")
+    spark = build_session(
+        "oracle", "local[8]", spark__sql__shuffle__partitions="8", spark__ui__enabled="false",
+        spark__driver__memory="12g", spark__driver__maxResultSize="4g",
+    )
     spark.sparkContext.setLogLevel("ERROR")
     con = duck(folder)
     bad = 0
