@@ -181,10 +181,11 @@ def query(spark: SparkSession, folder: str) -> DataFrame:
     return digest(encoded(common.table(spark, folder, "documents")))
 
 
-def digest(coded: DataFrame) -> DataFrame:
+def digest(coded: DataFrame, *more: str) -> DataFrame:
+    """Count and digests of what ``encoded`` gives, and the columns named."""
     return coded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"), *more,
     )

@@ -2,12 +2,22 @@
 
 from __future__ import annotations
 
-from postlake.llm import bpe, quality, tokenfiles, unigram
+from postlake.llm import bpe, contamination, licenses, neardup, passages, pii, quality, sitelines, tokenfiles, unigram
 
 QUERIES = {
+    "op1_licenses": licenses.query,
     "op2_token_files": tokenfiles.query,
+    "op3_personal_data": pii.query,
+    "op4_passages": passages.query,
+    "op5_site_lines": sitelines.query,
     "op6_bpe": bpe.query,
     "op7_quality": quality.query,
     "op8_token_counts": unigram.query,
+    "op9_leaks": contamination.query,
+    "op10_near_duplicates": neardup.query,
+}
+SQL = {
+    "op1_licenses": licenses.SQL,
+    "op5_site_lines": sitelines.SQL,
+    "op9_leaks": contamination.SQL,
 }
-SQL: dict[str, str] = {}
