@@ -197,7 +197,10 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", le
     close = F.col("id") != F.col("hub")
     close &= 100 * F.least("n", "hub_n") >= percent * F.greatest("n", "hub_n")
     stars = common.written(buckets.filter(close).select("id", "hub").distinct(), "stars")
+    # Only documents that share a bucket are ever compared: their texts are gathered once, for all that follows.
+    needed = buckets.select(F.col("id").alias("v")).distinct()
     texts = docs.select(docs[key].cast("long").alias("k"), docs[text].alias("t"))
+    texts = common.written(texts.join(needed, F.col("k") == F.col("v"), "left_semi"), "texts")
     left = stars.join(texts, F.col("id") == F.col("k")).select("id", "hub", F.col("t").alias("t1"))
     both = left.join(texts, F.col("hub") == F.col("k")).select("id", "hub", "t1", "t")
     first = both.filter(similar(length, percent)("t1", "t")).select(F.col("id").alias("a"), F.col("hub").alias("b"))
