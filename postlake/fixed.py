@@ -62,7 +62,6 @@ STREAM = Lexicon(
 )
 
 # Sentiment labels and the cut around zero.
-SENTIMENTS = ("negative", "neutral", "positive")
 SENTIMENT_CUT = 0.1
 SUBJECTIVITY = 0.5
 
@@ -77,6 +76,12 @@ SOURCE_API = "reddit"
 RAW_FLAG = "raw"
 MANIFEST_VERSION = "1.0"
 
+# The sentences of the insights.
+BEST_TITLE = "Highest Engagement: "
+BEST_TEXT = "Posts about %s receive avg score of %s, %s%% above average"
+PEAK_TITLE = "Peak Activity at %d:00"
+PEAK_TEXT = "Most posts created around %d:00 UTC (%d posts)"
+
 # White space as Unicode knows it. Java and RE2 take \s and \w as ASCII, so the wider set
 # is spelled out, and letters and digits are named by category.
 SPACE = (

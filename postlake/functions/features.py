@@ -80,30 +80,21 @@ def growth_rate(
     return F.when(F.date_add(F.lag(order).over(window), 1) == F.col(order), rate)
 
 
-def dominant(value: Column, domain: Sequence[str] | None = None) -> Column:
-    """The most frequent value, ties to the smallest.
+def dominant(value: Column) -> Column:
+    """The most frequent value, ties to the smallest. Any value counts, also one in no list known beforehand."""
+    return F.mode(value, True)
 
-    With a known ``domain`` this is one counter per value, which keeps the aggregation on fixed-size
-    buffers; otherwise Spark's ``mode`` keeps a map of counts.
-    """
-    if domain is None:
-        return F.mode(value, True)
-    ranked = [
-        F.struct(F.count_if(value == name).alias("n"), F.lit(-place).alias("place"), F.lit(name).alias("value"))
-        for place, name in enumerate(sorted(domain))
-    ]
-    best = F.greatest(*ranked) if len(ranked) > 1 else ranked[0]
-    return F.when(best["n"] > 0, best["value"])
 
+def hour_counts(hour: Column) -> Column:
+    """The rows of a group in each of the 24 hours: fixed-size buffers, however many rows there are."""
+    return F.array(*[F.count_if(hour == h) for h in range(24)])
 
-def hours_list(hour: Column) -> Column:
-    """All hours of a group in ascending order, one entry per row.
 
-    Built from 24 counters, so rows are combined before the shuffle and no group is gathered. Only the
-    finished value is as long as the group, because that is what the list means.
-    """
-    runs = [F.array_repeat(F.lit(h), F.count_if(hour == h).cast("int")) for h in range(24)]
-    return F.flatten(F.array(*runs))
+def hours_list(counts: Column) -> Column:
+    """``hour_counts`` written out: all hours of a group in ascending order, one entry per row. As long as
+    its group, so it is made on reading and for small groups, and not stored."""
+    runs = F.transform(counts, lambda n, h: F.array_repeat(h, n.cast("int")))
+    return F.flatten(runs)
 
 
 def distinct_hours(hour: Column) -> Column:

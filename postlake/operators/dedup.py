@@ -22,12 +22,16 @@ def top_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n:
     return ranked(df, keys, order, "__rank").filter(F.col("__rank") <= n).drop("__rank")
 
 
-def latest_order(df: DataFrame, key: str = "post_id") -> list[Column]:
-    """Latest load first, then row hash and score; the other columns settle what is still equal.
+# What makes a row the latest: its load, or in a stream its arrival, then what settles equal times.
+LATEST = ("ingestion_timestamp", "kafka_ingestion_time", "row_hash", "score")
+
+
+def latest_order(df: DataFrame, key: str = "post_id", lead: Sequence[str] = LATEST) -> list[Column]:
+    """The columns of ``lead`` that there are, largest first; the other columns settle what is still equal.
 
     The order is total up to rows equal in every column, so reruns keep the same row.
     """
-    lead = [name for name in ("ingestion_timestamp", "row_hash", "score") if name in df.columns]
+    lead = [name for name in lead if name in df.columns]
     rest = sorted(set(df.columns) - set(lead) - {key})
     return [F.col(name).desc_nulls_last() for name in lead + rest]
 

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from postlake import fixed
@@ -19,16 +19,20 @@ READING_ORDER = {
     "daily_subreddit_stats": (("subreddit", True), ("date", True)),
     "trending_topics": (("date", False), ("mention_count", False), ("topic", True), ("subreddit", True)),
     "user_engagement": (("post_count", False), ("author", True), ("subreddit", True), ("date", True)),
-    "cross_subreddit_comparison": (("date", True), ("topic", True)),
+    "cross_subreddit_comparison": (("date", True), ("topic", True), ("subreddit", True)),
     "hourly_patterns": (("subreddit", True), ("hour_of_day", True)),
     "entity_network": (("co_occurrence_count", False), ("entity_1", True), ("entity_2", True)),
     "sentiment_timeseries": (("subreddit", True), ("date", True), ("hour", True)),
 }
 
 
+def reading_order(name: str) -> list[Column]:
+    return [F.col(c).asc() if up else F.col(c).desc() for c, up in READING_ORDER[name]]
+
+
 def in_reading_order(table: DataFrame, name: str) -> DataFrame:
     """Rows sorted for a report. Stored tables are not sorted: the sort would only be shuffled away."""
-    return table.orderBy(*[F.col(c).asc() if up else F.col(c).desc() for c, up in READING_ORDER[name]])
+    return table.orderBy(*reading_order(name))
 
 
 def _rows():
@@ -108,33 +112,35 @@ def trending_topics(
     return grown.withColumn("is_trending", hot)
 
 
-def user_engagement(
-    posts: DataFrame, power: int = 5, topics: Sequence[str] | None = None
-) -> DataFrame:
-    """Posting patterns per author, subreddit and day.
-
-    ``topics`` are the names ``primary_topic`` may take; with them the whole grouping runs on counters.
-    """
+def user_engagement(posts: DataFrame, power: int = 5) -> DataFrame:
+    """Posting patterns per author, subreddit and day, the hours as 24 counts (see ``with_active_hours``)."""
     users = posts.groupBy("author", "subreddit", F.to_date("created_datetime").alias("date")).agg(
         _rows().alias("post_count"),
         F.sum("score").alias("total_score"),
         _mean("score", 2).alias("avg_score"),
         F.max("score").alias("max_score"),
         _mean_sentiment().alias("avg_sentiment"),
-        features.dominant(F.col("primary_topic"), topics).alias("most_common_topic"),
-        features.hours_list(F.col("hour_of_day")).alias("active_hours"),
+        features.dominant(F.col("primary_topic")).alias("most_common_topic"),
+        features.hour_counts(F.col("hour_of_day")).alias("hour_counts"),
         features.distinct_hours(F.col("hour_of_day")).alias("unique_hours"),
     )
     return users.withColumn("is_power_user", F.col("post_count") > power)
 
 
+def with_active_hours(users: DataFrame) -> DataFrame:
+    """The list of posting hours, one entry per post, in place of the 24 counts."""
+    return users.withColumn("hour_counts", features.hours_list(F.col("hour_counts"))).withColumnRenamed("hour_counts", "active_hours")
+
+
 def pivot_values(df: DataFrame, column: str) -> list[str]:
-    """The sorted values a pivot makes columns of. Too many of them is an error, none is left out."""
+    """The sorted values a pivot makes columns of. Too many of them, or NULL among them, is an error: none is left out."""
     most = int(df.sparkSession.conf.get("spark.sql.pivotMaxValues"))
     rows = df.select(column).distinct().limit(most + 1).collect()
     if len(rows) > most:
         raise ValueError(f"{column} has more than {most} values (spark.sql.pivotMaxValues)")
-    return sorted(row[0] for row in rows if row[0] is not None)
+    if any(row[0] is None for row in rows):
+        raise ValueError(f"{column} has NULL, which is no column name: fill or filter it first")
+    return sorted(row[0] for row in rows)
 
 
 def pivoted(
@@ -147,28 +153,32 @@ def pivoted(
 ) -> DataFrame:
     """Pivot with several measures; columns are ``{value}_{measure}``. ``fill=None`` keeps NULLs.
 
-    Give ``values`` where they are known: looking them up is a job of its own.
+    A wide form for export: its columns grow with the values. Give ``values`` where they are known:
+    looking them up is a job of its own. A row whose value is not among them, or NULL, stops the query.
     """
     values = pivot_values(df, column) if values is None else list(values)
-    aggregates = [measure.alias(name) for name, measure in measures.items()]
-    if len(aggregates) == 1:
-        values_out = {value: f"{value}_{name}" for value in values for name in measures}
-        wide = df.groupBy(*keys).pivot(column, values).agg(*aggregates).withColumnsRenamed(values_out)
-    else:
-        wide = df.groupBy(*keys).pivot(column, values).agg(*aggregates)
-    return wide if fill is None else wide.fillna(fill)
+    given = F.col(column).isin(values)
+    message = F.concat(F.lit(f"{column} has a value that was not given: "), F.coalesce(F.col(column).cast("string"), F.lit("NULL")))
+    checked = df.withColumn(column, F.when(given, F.col(column)).otherwise(F.raise_error(message).cast(df.schema[column].dataType)))
+    # With two aggregates or more, Spark itself names the columns {value}_{name}.
+    aggregates = [measure.alias(name) for name, measure in measures.items()] + [_rows().alias("__rows")]
+    wide = checked.groupBy(*keys).pivot(column, values).agg(*aggregates).drop(*[f"{value}___rows" for value in values])
+    return wide if fill is None else wide.fillna(fill, [name for name in wide.columns if name not in keys])
+
+
+def cross_comparison(posts: DataFrame) -> DataFrame:
+    """Mentions, mean score and mean sentiment of each topic by day and subreddit."""
+    return exploded_topics(posts).groupBy("date", "topic", "subreddit").agg(
+        _rows().alias("mentions"), _mean("score", 2).alias("avg_score"), _mean_sentiment().alias("sentiment")
+    )
 
 
-def cross_comparison(
-    posts: DataFrame, values: Sequence[str] | None = None, fill: float | None = 0
+def cross_comparison_wide(
+    compared: DataFrame, values: Sequence[str] | None = None, fill: float | None = 0
 ) -> DataFrame:
-    """Topics by day, with mentions, mean score and mean sentiment of each subreddit side by side."""
-    measures = {
-        "mentions": _rows(),
-        "avg_score": _mean("score", 2),
-        "sentiment": _mean_sentiment(),
-    }
-    return pivoted(exploded_topics(posts), ["date", "topic"], "subreddit", measures, values, fill)
+    """``cross_comparison`` for export: the subreddits of a topic and day side by side."""
+    measures = {name: F.first(name) for name in ("mentions", "avg_score", "sentiment")}
+    return pivoted(compared, ["date", "topic"], "subreddit", measures, values, fill)
 
 
 def hourly_patterns(posts: DataFrame, quantile: float = 0.75) -> DataFrame:
@@ -193,8 +203,9 @@ def peak_hours(hourly: DataFrame) -> DataFrame:
 def entity_pairs(posts: DataFrame, *carried: str) -> DataFrame:
     """Each pair of entities named together in a post, smaller name first.
 
-    Pairs are made inside the row. Entities are distinct names of a lexicon, so a row has few, and no
-    join on the post is needed.
+    Pairs are made inside the row, so no join on the post is needed. A row has n * (n - 1) / 2 of them, n being
+    the lexicon names in it: 276 at most for the 24 default names. A lexicon of thousands wants the few
+    that matter picked first.
     """
     ordered = posts.select(*carried, F.sort_array(F.array_distinct("entities")).alias("__names"))
     first = ordered.select(*carried, "__names", F.posexplode_outer("__names").alias("__at", "entity_1"))
@@ -203,14 +214,12 @@ def entity_pairs(posts: DataFrame, *carried: str) -> DataFrame:
     return _without_empty(pairs, "entity_2")
 
 
-def entity_network(
-    posts: DataFrame, min_count: int = 2, sentiments: Sequence[str] | None = fixed.SENTIMENTS
-) -> DataFrame:
+def entity_network(posts: DataFrame, min_count: int = 2) -> DataFrame:
     """How often two entities share a post, and how such posts fare."""
     pairs = entity_pairs(posts, "score", "sentiment").groupBy("entity_1", "entity_2").agg(
         _rows().alias("co_occurrence_count"),
         _mean("score", 2).alias("avg_score"),
-        features.dominant(F.col("sentiment"), sentiments).alias("dominant_sentiment"),
+        features.dominant(F.col("sentiment")).alias("dominant_sentiment"),
     )
     strength = F.round(F.col("co_occurrence_count") * F.col("avg_score"), 2)
     return pairs.filter(F.col("co_occurrence_count") >= min_count).withColumn("relationship_strength", strength)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postlake import fixed
@@ -81,36 +81,47 @@ def global_stats(posts: DataFrame) -> DataFrame:
     )
 
 
-def manifest(bronze: DataFrame, batch_id: str, source: str) -> DataFrame:
-    """One row on a load: totals, posts per subreddit, time range, versions.
-
-    Posts are counted per subreddit first; the map is built from these counts.
-    """
-    per_key = bronze.groupBy("subreddit").agg(
+def manifest_counts(bronze: DataFrame) -> DataFrame:
+    """The posts and the time range of each subreddit of a load, a row for each."""
+    return bronze.groupBy("subreddit").agg(
         F.count(F.lit(1)).alias("n"),
         F.min("created_datetime").alias("first"),
         F.max("created_datetime").alias("last"),
     )
-    counts = F.sort_array(F.collect_list(F.struct("subreddit", "n")))
-    return per_key.agg(
+
+
+def _manifest(bronze: DataFrame, batch_id: str, source: str, *more: Column) -> DataFrame:
+    return manifest_counts(bronze).agg(
         F.lit(batch_id).alias("batch_id"),
         F.current_timestamp().alias("ingestion_time"),
         F.lit(source).alias("source"),
         F.coalesce(F.sum("n"), F.lit(0)).alias("total_records"),
-        F.map_from_entries(counts).alias("subreddits"),
+        F.count(F.lit(1)).alias("n_subreddits"),
         F.min("first").alias("min_date"),
         F.max("last").alias("max_date"),
         F.lit(fixed.MANIFEST_VERSION).alias("schema_version"),
         F.version().alias("spark_version"),
+        *more,
     )
 
 
+def manifest(bronze: DataFrame, batch_id: str, source: str) -> DataFrame:
+    """One row on a load: totals, time range, versions. The counts of the subreddits are a table (``manifest_counts``)."""
+    return _manifest(bronze, batch_id, source)
+
+
+def manifest_document(bronze: DataFrame, batch_id: str, source: str) -> DataFrame:
+    """The manifest for export, with a map of the posts of each subreddit: as large as their number."""
+    counts = F.sort_array(F.collect_list(F.struct("subreddit", "n")))
+    return _manifest(bronze, batch_id, source, F.map_from_entries(F.filter(counts, lambda c: c["subreddit"].isNotNull())).alias("subreddits"))
+
+
 def insights(posts: DataFrame, k: int = 5) -> DataFrame:
-    """One row: totals, subreddits, time range, top topics, best topic and busiest hour.
+    """One row: totals, number of subreddits, time range, top topics, best topic and busiest hour.
 
     Posts are read once and counted into a small cube (topic x subreddit x hour); grouping sets over the
     cube give every figure. Best topic compares rounded means, as shown; ties go to the smallest topic
-    or hour.
+    or hour. Of the topics only the first ``k`` are gathered: the rank filter runs in every task first.
     """
     cube = posts.groupBy("primary_topic", "hour_of_day", "subreddit").agg(
         F.count(F.lit(1)).alias("n"),
@@ -130,25 +141,26 @@ def insights(posts: DataFrame, k: int = 5) -> DataFrame:
     # The id has a bit for each column that is not grouped by.
     per_topic, per_hour, per_subreddit, overall = (F.col("grouping") == g for g in (0b011, 0b101, 0b110, 0b111))
 
-    ranked = F.struct((-F.col("n")).alias("rank"), topic.alias("topic"), F.col("n").alias("count"))
     by_mean = F.struct((-F.col("mean")).alias("rank"), topic.alias("topic"), F.col("mean").alias("mean"))
     by_count = F.struct((-F.col("n")).alias("rank"), hour.alias("hour"), F.col("n").alias("n"))
-    row = figures.agg(
+    totals = figures.agg(
         F.coalesce(F.max(F.when(overall, F.col("n"))), F.lit(0)).alias("total_posts"),
-        F.sort_array(F.collect_list(F.when(per_subreddit, subreddit))).alias("subreddits"),
+        F.count_if(per_subreddit).alias("n_subreddits"),
         F.min("first").alias("start"),
         F.max("last").alias("end"),
-        F.sort_array(F.collect_list(F.when(per_topic, ranked))).alias("ranked"),
         F.min(F.when(per_topic & F.col("mean").isNotNull(), by_mean)).alias("best"),
         F.min(F.when(per_hour, by_count)).alias("peak"),
         F.max(F.when(overall, F.col("exact"))).alias("overall"),
     )
-    listed = F.transform(
-        F.slice("ranked", 1, k), lambda t: F.struct(t["topic"].alias("topic"), t["count"].alias("count"))
-    )
+    counted = cube.groupBy(topic.alias("topic")).agg(F.sum("n").alias("count"))
+    ranked = F.struct((-F.col("count")).alias("rank"), "topic", "count")
+    first = counted.orderBy(F.col("count").desc(), "topic").limit(k).agg(F.sort_array(F.collect_list(ranked)).alias("ranked"))
+    row = totals.unionByName(first, allowMissingColumns=True)
+    row = row.agg(*[F.max(name).alias(name) for name in totals.columns], F.flatten(F.collect_list("ranked")).alias("ranked"))
+    listed = F.transform("ranked", lambda t: F.struct(t["topic"].alias("topic"), t["count"].alias("count")))
     above = (F.try_divide(F.col("best.mean"), F.col("overall")) - 1) * 100
     return row.select(
-        "total_posts", "subreddits", "start", "end",
+        "total_posts", "n_subreddits", "start", "end",
         listed.alias("top_topics"),
         F.col("best.topic").alias("best_topic"),
         F.col("best.mean").alias("best_avg"),
@@ -158,33 +170,43 @@ def insights(posts: DataFrame, k: int = 5) -> DataFrame:
     )
 
 
-def insight_texts(insight: DataFrame) -> DataFrame:
-    """The two findings of ``insights`` as (type, title, description) rows."""
+def _findings() -> Column:
+    """The two findings as a list of (type, title, description)."""
     engagement = F.struct(
         F.lit("engagement").alias("type"),
-        F.concat(F.lit("Highest Engagement: "), "best_topic").alias("title"),
+        F.concat(F.lit(fixed.BEST_TITLE), "best_topic").alias("title"),
         F.format_string(
-            "Posts about %s receive avg score of %s, %s%% above average",
-            "best_topic", F.col("best_avg").cast("string"), F.col("pct_above_mean").cast("long").cast("string"),
+            fixed.BEST_TEXT, "best_topic", F.col("best_avg").cast("string"), F.col("pct_above_mean").cast("long").cast("string")
         ).alias("description"),
     )
     timing = F.struct(
         F.lit("timing").alias("type"),
-        F.format_string("Peak Activity at %d:00", "peak_hour").alias("title"),
-        F.format_string(
-            "Most posts created around %d:00 UTC (%d posts)", "peak_hour", "peak_count"
-        ).alias("description"),
+        F.format_string(fixed.PEAK_TITLE, "peak_hour").alias("title"),
+        F.format_string(fixed.PEAK_TEXT, "peak_hour", "peak_count").alias("description"),
+    )
+    return F.array(engagement, timing)
+
+
+def insight_texts(insight: DataFrame) -> DataFrame:
+    """The two findings of ``insights`` as (type, title, description) rows."""
+    return insight.select(F.explode(_findings()).alias("i")).select("i.*")
+
+
+def insights_document(posts: DataFrame, generated_at: Column | None = None) -> DataFrame:
+    """The insights as they are stored: the figures, when and by which version they were made, and the findings."""
+    at = F.current_timestamp() if generated_at is None else generated_at
+    return insights(posts).select(
+        at.alias("generated_at"), F.version().alias("spark_version"), "*", _findings().alias("key_insights")
     )
-    return insight.select(F.explode(F.array(engagement, timing)).alias("i")).select("i.*")
 
 
-def gold_tables(posts: DataFrame, topics: Sequence[str] | None = None, **pivot) -> dict[str, DataFrame]:
+def gold_tables(posts: DataFrame) -> dict[str, DataFrame]:
     """The seven gold tables under their stored names."""
     return {
         "daily_subreddit_stats": gold.daily_stats(posts),
         "trending_topics": gold.trending_topics(posts),
-        "user_engagement": gold.user_engagement(posts, topics=topics),
-        "cross_subreddit_comparison": gold.cross_comparison(posts, **pivot),
+        "user_engagement": gold.user_engagement(posts),
+        "cross_subreddit_comparison": gold.cross_comparison(posts),
         "hourly_patterns": gold.hourly_patterns(posts),
         "entity_network": gold.entity_network(posts),
         "sentiment_timeseries": gold.sentiment_timeseries(posts),

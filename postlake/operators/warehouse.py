@@ -64,24 +64,29 @@ def refresh_all(posts: DataFrame, path: str) -> dict[str, str]:
     return folders
 
 
-def subreddit_rollup(posts: DataFrame) -> DataFrame:
-    return posts.groupBy("subreddit").agg(
+def _updated(rollup: DataFrame, at: Column | None) -> DataFrame:
+    return rollup.withColumn("last_updated", F.current_timestamp() if at is None else at)
+
+
+def subreddit_rollup(posts: DataFrame, at: Column | None = None) -> DataFrame:
+    """Totals per subreddit, with the time they were made (``at``, default: now)."""
+    return _updated(posts.groupBy("subreddit").agg(
         _rows().alias("total_posts"),
         F.sum("score").alias("total_score"),
         F.round(F.avg("score"), 2).alias("avg_score"),
         F.max("score").alias("max_score"),
         F.count_distinct("author").alias("unique_authors"),
         F.max("created_datetime").alias("last_post_time"),
-    )
+    ), at)
 
 
-def topic_rollup(posts: DataFrame) -> DataFrame:
-    """Totals per topic. A trending score is not defined anywhere and so is not made up here."""
-    return posts.groupBy("topic").agg(
+def topic_rollup(posts: DataFrame, at: Column | None = None) -> DataFrame:
+    """Totals per topic, with the time they were made. A trending score is not defined anywhere and so is not made up here."""
+    return _updated(posts.groupBy("topic").agg(
         _rows().alias("total_mentions"),
         F.round(F.avg("score"), 2).alias("avg_score"),
         features.steady_round(F.avg("sentiment_score"), 3).alias("avg_sentiment"),
-    )
+    ), at)
 
 
 def recent(df: DataFrame, time: str, hours: int, as_of: Column | None = None) -> DataFrame:

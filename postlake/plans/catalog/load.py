@@ -10,6 +10,8 @@ from postlake.operators import bronze, dedup, silver, summaries
 from postlake.plans import layers
 from postlake.plans.catalog import registry, sql
 from postlake.plans.catalog.registry import query
+from postlake.session import shared_folder
+from postlake.sinks import files as sink
 from postlake.sources import files, messages
 from postlake.sources.testtables import FRAGMENTS
 
@@ -51,18 +53,36 @@ def bronze_layer(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query(f"""
-  WITH {sql.BRONZE}, per_key AS (
-    SELECT subreddit, count(*) AS n FROM dated GROUP BY subreddit
-  )
-  SELECT 'batch_1' AS batch_id, 'events' AS source, (SELECT count(*) FROM dated) AS total_records,
-         (SELECT '{{' || string_agg('"' || subreddit || '":' || n, ',' ORDER BY subreddit) || '}}' FROM per_key)
-           AS subreddits,
-         (SELECT min(created_datetime) FROM dated) AS min_date,
-         (SELECT max(created_datetime) FROM dated) AS max_date, '1.0' AS schema_version
+  WITH {sql.BRONZE}
+  SELECT 'batch_1' AS batch_id, 'events' AS source, count(*) AS total_records,
+         count(DISTINCT subreddit) AS n_subreddits, min(created_datetime) AS min_date,
+         max(created_datetime) AS max_date, '1.0' AS schema_version FROM dated
 """)
 def manifest(spark: SparkSession, folder: str) -> DataFrame:
     row = summaries.manifest(registry.bronze_posts(spark, folder), "batch_1", "events")
-    return row.drop("ingestion_time", "spark_version").withColumn("subreddits", F.to_json("subreddits"))
+    return row.drop("ingestion_time", "spark_version")
+
+
+@query(f"""
+  WITH {sql.BRONZE} SELECT subreddit, count(*) AS n, min(created_datetime) AS first, max(created_datetime) AS last
+  FROM dated GROUP BY subreddit
+""")
+def manifest_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return summaries.manifest_counts(registry.bronze_posts(spark, folder))
+
+
+@query(f"""
+  WITH {sql.BRONZE}, per_key AS (SELECT subreddit, count(*) AS n FROM dated GROUP BY subreddit)
+  SELECT 'batch_1' AS batch_id, cast(sum(n) AS bigint) AS total_records,
+    '{{' || string_agg('"' || subreddit || '":' || n, ',' ORDER BY subreddit) || '}}' AS subreddits FROM per_key
+""")
+def manifest_stored(spark: SparkSession, folder: str) -> DataFrame:
+    """The written manifest of a load read back, its map of subreddits in order."""
+    path = shared_folder(spark, "manifest")
+    sink.write_document(summaries.manifest_document(registry.bronze_posts(spark, folder), "batch_1", "events"), path)
+    row = files.read_document(spark, path, "batch_id string, total_records bigint, subreddits map<string,bigint>")
+    ordered = F.map_from_entries(F.array_sort(F.map_entries("subreddits")))
+    return row.withColumn("subreddits", F.to_json(ordered))
 
 
 @query(f"""
@@ -147,7 +167,7 @@ def silver_layer(spark: SparkSession, folder: str) -> DataFrame:
   UNION ALL SELECT 'daily_subreddit_stats', count(*) FROM (SELECT DISTINCT subreddit, date FROM silver)
   UNION ALL SELECT 'trending_topics', count(*) FROM (SELECT DISTINCT date, topic, subreddit FROM exploded)
   UNION ALL SELECT 'user_engagement', count(*) FROM (SELECT DISTINCT author, subreddit, date FROM silver)
-  UNION ALL SELECT 'cross_subreddit_comparison', count(*) FROM (SELECT DISTINCT date, topic FROM exploded)
+  UNION ALL SELECT 'cross_subreddit_comparison', count(*) FROM (SELECT DISTINCT date, topic, subreddit FROM exploded)
   UNION ALL SELECT 'hourly_patterns', count(*) FROM (SELECT DISTINCT subreddit, hour_of_day FROM silver)
   UNION ALL SELECT 'entity_network', count(*) FROM pairs
   UNION ALL SELECT 'sentiment_timeseries', count(*) FROM (SELECT DISTINCT subreddit, date, hour_of_day FROM silver)
@@ -165,3 +185,49 @@ def layer_counts(spark: SparkSession, folder: str) -> DataFrame:
         one = one.select(F.lit(name).alias("table_name"), "row_count")
         counts = one if counts is None else counts.unionAll(one)
     return counts
+
+
+def _bronze_and_quarantine(spark: SparkSession, layout: layers.Layout) -> DataFrame:
+    """All that the loads of a layout have kept, as (table_name, item)."""
+    good = layers.read_bronze(spark, layout).select(F.lit("bronze").alias("table_name"), F.col("post_id").alias("item"))
+    bad = layers.read_quarantine(spark, layout).select(F.lit("quarantine"), F.col("raw_value"))
+    return good.unionAll(bad)
+
+
+@query("""
+  SELECT 'quarantine' AS table_name, text AS item FROM documents UNION ALL SELECT 'quarantine', props FROM events
+""")
+def all_malformed(spark: SparkSession, folder: str) -> DataFrame:
+    """A load without a single good message."""
+    layout = registry.new_layout(spark, "all-malformed")
+    bad = messages.quarantine(messages.decode(registry.mixed_messages(spark, folder)))
+    layers.load_bronze(bad.select(F.col("raw_value").alias("value")), layout, "batch_1")
+    return _bronze_and_quarantine(spark, layout)
+
+
+@query("""
+  SELECT 'bronze' AS table_name, cast(event_id AS varchar) AS item FROM events, range(2)
+  UNION ALL SELECT 'quarantine', text FROM documents UNION ALL SELECT 'quarantine', props FROM events
+""")
+def append_quarantine(spark: SparkSession, folder: str) -> DataFrame:
+    """A load with malformed messages, one without, and the first one again: what it rejected stays, once."""
+    layout = registry.new_layout(spark, "append-quarantine")
+    mixed = registry.mixed_messages(spark, folder)
+    good = messages.encode(registry.raw_posts(spark, folder))
+    for batch, load in ((mixed, "batch_1"), (good, "batch_2"), (mixed, "batch_1")):
+        layers.load_bronze(batch, layout, load)
+    return _bronze_and_quarantine(spark, layout)
+
+
+@query(f"""
+  WITH {sql.streamed()} SELECT post_id, score - 1 AS score, kafka_ingestion_time + INTERVAL 1 DAY AS kafka_ingestion_time, 2 AS batches
+  FROM streamed UNION ALL SELECT post_id, score - 1, kafka_ingestion_time + INTERVAL 1 DAY, 1 FROM streamed
+""")
+def merged_versions(spark: SparkSession, folder: str) -> DataFrame:
+    """Two versions of each post, the later one with the smaller score: the rows a merge keeps when both come in
+    one batch, and when they come in two, of which the second one is merged over the first."""
+    early = registry.streamed_posts(spark, folder)
+    later = early.withColumns({"score": F.col("score") - 1, "kafka_ingestion_time": F.col("kafka_ingestion_time") + F.expr("INTERVAL 1 DAY")})
+    one = dedup.drop_duplicates(early.unionByName(later)).withColumn("batches", F.lit(1))
+    two = dedup.drop_duplicates(later).withColumn("batches", F.lit(2))
+    return one.unionByName(two).select("post_id", "score", "kafka_ingestion_time", "batches")

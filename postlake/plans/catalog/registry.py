@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from postlake import schema
 from postlake.operators import bronze, silver
 from postlake.plans.layers import Layout
-from postlake.session import shared_folder, tune
+from postlake.session import shared_folder, tuned_copy
 from postlake.sinks import files as sink
 from postlake.sources import files, messages, testtables
 from postlake.sources.testtables import FRAGMENTS
@@ -34,7 +34,7 @@ def query(sql: str | None = None) -> Callable[[Run], Run]:
 
     def register(run: Run) -> Run:
         def tuned(spark: SparkSession, folder: str) -> DataFrame:
-            return run(tune(spark), folder)
+            return run(tuned_copy(spark), folder)
 
         CATALOG[run.__name__] = Query(tuned, sql)
         return run
@@ -49,7 +49,7 @@ def _once(spark: SparkSession, folder: str, name: str, write: Callable[[str], No
     """Write a table the first time a session asks for it. Later layers read the written one."""
     key = (spark.sparkContext.applicationId, folder, name)
     if key not in _written:
-        path = shared_folder(spark, name)
+        path = f"{shared_folder(spark, name)}/table"
         write(path)
         _written[key] = path
     return _written[key]

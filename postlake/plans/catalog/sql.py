@@ -92,7 +92,8 @@ POSTS = """posts AS (
          'u' || e.user_id AS author,
          cast(floor(epoch(e.ts)) AS bigint) AS created_utc,
          cast(floor(e.value) AS int) AS score
-  FROM events e JOIN documents d ON d.doc_id = e.event_id % (SELECT count(*) FROM documents)
+  FROM (SELECT *, event_id % (SELECT count(*) FROM documents) AS place FROM events) e
+  JOIN documents d ON d.doc_id = e.place
 )"""
 
 BRONZE = f"""{POSTS}, bronze AS (

@@ -10,9 +10,11 @@ from postlake.functions import text
 from postlake.operators import gold, summaries
 from postlake.plans.catalog import registry, sql
 from postlake.plans.catalog.registry import query
-from postlake.sources.testtables import FRAGMENTS
+from postlake.session import shared_folder
+from postlake.sinks import files as sink
+from postlake.sources import files
 
-SUBREDDITS = ("click", "error", "purchase", "signup", "view")  # the event types of the test tables
+SUBREDDITS = ("click", "error", "purchase", "signup", "view")  # the event types of the test tables, for the checking SQL
 
 SILVER = sql.silver()
 R = sql.rounded
@@ -117,14 +119,25 @@ def top_trending(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _users(spark, folder):
-    return gold.user_engagement(registry.silver_posts(spark, folder), power=2, topics=FRAGMENTS.topic_names)
+    return gold.user_engagement(registry.silver_posts(spark, folder), power=2)
 
 
 @query(f"WITH {USERS} SELECT * FROM users")
 def user_engagement(spark: SparkSession, folder: str) -> DataFrame:
     """Power users post more than twice a day here: the test authors post little."""
     hours = text.array_text(F.col("active_hours").cast("array<string>"))
-    return _users(spark, folder).withColumn("active_hours", hours)
+    return gold.with_active_hours(_users(spark, folder)).withColumn("active_hours", hours)
+
+
+@query(f"""
+  WITH {SILVER} SELECT author, subreddit, date, {sql.listed("[" + ", ".join(
+    f"count(*) FILTER (hour_of_day = {h})" for h in range(24)) + "]")} AS hour_counts
+  FROM silver GROUP BY author, subreddit, date
+""")
+def hour_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """The posts of each author, subreddit and day in each hour, as stored."""
+    counts = text.array_text(F.col("hour_counts").cast("array<string>"))
+    return _users(spark, folder).select("author", "subreddit", "date", counts.alias("hour_counts"))
 
 
 @query(f"""
@@ -147,7 +160,20 @@ def top_contributors(spark: SparkSession, folder: str) -> DataFrame:
   FROM exploded GROUP BY date, topic
 """)
 def cross_comparison(spark: SparkSession, folder: str) -> DataFrame:
-    return gold.cross_comparison(registry.silver_posts(spark, folder), SUBREDDITS)
+    """The wide form, its columns looked up."""
+    return gold.cross_comparison_wide(gold.cross_comparison(registry.silver_posts(spark, folder)))
+
+
+@query(f"""
+  WITH {SILVER}, exploded AS (
+    SELECT subreddit, date, unnest(topics) AS topic, score, sentiment_polarity FROM silver
+  )
+  SELECT date, topic, subreddit, count(*) AS mentions, {R('avg(score)', 2)} AS avg_score,
+    {S('avg(sentiment_polarity)', 3)} AS sentiment FROM exploded GROUP BY ALL
+""")
+def cross_comparison_long(spark: SparkSession, folder: str) -> DataFrame:
+    """The stored form: a row for each day, topic and subreddit, whatever the subreddits are."""
+    return gold.cross_comparison(registry.silver_posts(spark, folder))
 
 
 @query(f"""
@@ -250,7 +276,7 @@ INSIGHTS = f"""{SILVER}, by_topic AS (
 ), listed AS (
   SELECT topic, n FROM by_topic ORDER BY n DESC, topic LIMIT 5
 ), insights AS (
-  SELECT count(*) AS total_posts, {sql.listed('list_sort(list(DISTINCT subreddit))')} AS subreddits,
+  SELECT count(*) AS total_posts, count(DISTINCT subreddit) AS n_subreddits,
     min(created_datetime) AS start, max(created_datetime) AS end,
     (SELECT string_agg(topic || '=' || n, ',' ORDER BY n DESC, topic) FROM listed) AS top_topics,
     (SELECT topic FROM best) AS best_topic, (SELECT mean FROM best) AS best_avg,
@@ -264,13 +290,10 @@ INSIGHTS = f"""{SILVER}, by_topic AS (
 def insights(spark: SparkSession, folder: str) -> DataFrame:
     row = summaries.insights(registry.silver_posts(spark, folder))
     pairs = F.transform("top_topics", lambda t: F.concat(t["topic"], F.lit("="), t["count"].cast("string")))
-    return row.withColumns({
-        "subreddits": text.array_text(F.col("subreddits")),
-        "top_topics": F.concat_ws(",", pairs),
-    })
+    return row.withColumn("top_topics", F.concat_ws(",", pairs))
 
 
-@query(f"""
+FINDINGS = f"""
   WITH {INSIGHTS}
   SELECT 'engagement' AS type, 'Highest Engagement: ' || best_topic AS title,
     'Posts about ' || best_topic || ' receive avg score of ' || best_avg || ', '
@@ -278,7 +301,43 @@ def insights(spark: SparkSession, folder: str) -> DataFrame:
   UNION ALL
   SELECT 'timing', 'Peak Activity at ' || peak_hour || ':00',
     'Most posts created around ' || peak_hour || ':00 UTC (' || peak_count || ' posts)' FROM insights
+"""
+
+
+@query(FINDINGS)
+def insights_stored(spark: SparkSession, folder: str) -> DataFrame:
+    """The findings out of the written insights document."""
+    path = shared_folder(spark, "insights")
+    sink.write_document(summaries.insights_document(registry.silver_posts(spark, folder)), path)
+    document = files.read_document(spark, path, "key_insights array<struct<type:string,title:string,description:string>>")
+    return document.select(F.explode("key_insights").alias("i")).select("i.*")
+
+
+def _report(table: DataFrame, name: str) -> DataFrame:
+    path = shared_folder(table.sparkSession, f"report-{name}")
+    return sink.write_report(table, path, gold.reading_order(name))
+
+
+@query(f"""
+  WITH {NETWORK} SELECT entity_1, entity_2, co_occurrence_count,
+    row_number() OVER (ORDER BY co_occurrence_count DESC, entity_1, entity_2) AS position FROM network
 """)
+def report_order_network(spark: SparkSession, folder: str) -> DataFrame:
+    """The place of each row of a table in its reading order."""
+    report = _report(gold.entity_network(registry.silver_posts(spark, folder)), "entity_network")
+    return report.select("entity_1", "entity_2", "co_occurrence_count", "position")
+
+
+@query(f"""
+  WITH {TRENDING} SELECT date, topic, subreddit, mention_count,
+    row_number() OVER (ORDER BY date DESC, mention_count DESC, topic, subreddit) AS position FROM trending
+""")
+def report_order_trending(spark: SparkSession, folder: str) -> DataFrame:
+    report = _report(gold.trending_topics(registry.silver_posts(spark, folder)), "trending_topics")
+    return report.select("date", "topic", "subreddit", "mention_count", "position")
+
+
+@query(FINDINGS)
 def insight_texts(spark: SparkSession, folder: str) -> DataFrame:
     return summaries.insight_texts(summaries.insights(registry.silver_posts(spark, folder)))
 

@@ -13,6 +13,7 @@ from postlake.session import shared_folder
 from postlake.sources import files
 
 STREAMED = sql.streamed()
+MADE_AT = "2024-02-01 00:00:00"  # of the rollups here
 R = sql.rounded
 S = sql.steady
 
@@ -59,20 +60,20 @@ def mv_topic(spark: SparkSession, folder: str) -> DataFrame:
 @query(f"""
   WITH {STREAMED} SELECT subreddit, count(*) AS total_posts, cast(sum(score) AS bigint) AS total_score,
     {R('avg(score)', 2)} AS avg_score, max(score) AS max_score, count(DISTINCT author) AS unique_authors,
-    max(created_datetime) AS last_post_time
+    max(created_datetime) AS last_post_time, TIMESTAMP '2024-02-01 00:00:00' AS last_updated
   FROM streamed GROUP BY subreddit
 """)
 def rollup_subreddit(spark: SparkSession, folder: str) -> DataFrame:
-    return warehouse.subreddit_rollup(registry.streamed_posts(spark, folder))
+    return warehouse.subreddit_rollup(registry.streamed_posts(spark, folder), F.lit(MADE_AT).cast("timestamp"))
 
 
 @query(f"""
   WITH {STREAMED} SELECT topic, count(*) AS total_mentions, {R('avg(score)', 2)} AS avg_score,
-    {S('avg(sentiment_score)', 3)} AS avg_sentiment
+    {S('avg(sentiment_score)', 3)} AS avg_sentiment, TIMESTAMP '2024-02-01 00:00:00' AS last_updated
   FROM streamed GROUP BY topic
 """)
 def rollup_topic(spark: SparkSession, folder: str) -> DataFrame:
-    return warehouse.topic_rollup(registry.streamed_posts(spark, folder))
+    return warehouse.topic_rollup(registry.streamed_posts(spark, folder), F.lit(MADE_AT).cast("timestamp"))
 
 
 METRICS = f"""{STREAMED}, lately AS (

@@ -32,6 +32,8 @@ BRONZE = _row(
     partition_month="integer", partition_day="integer",
 )
 
+QUARANTINE = _row(raw_value="string", reason="string")
+
 SILVER = _row(
     *BRONZE.fields,
     title_cleaned="string", body_cleaned="string", sentiment_polarity="double", sentiment="string",

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -20,16 +19,31 @@ def use_utc(spark: SparkSession) -> SparkSession:
 TUNING = {
     "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
+    # The ids that a stream has seen are kept on disk, not on the heap of the executors.
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 
 def tune(spark: SparkSession) -> SparkSession:
-    """UTC and the settings above, for a session that was built elsewhere."""
+    """UTC and the settings above, for a session of one's own."""
     for name, value in TUNING.items():
         spark.conf.set(name, value)
     return use_utc(spark)
 
 
+def tuned_copy(spark: SparkSession) -> SparkSession:
+    """A session beside the caller's, on the same cluster, with UTC and the settings above.
+
+    It starts from the caller's SQL settings. These and the caller's views stay as they are.
+    """
+    own = spark.newSession()
+    for name, value in spark.conf.getAll.items():
+        if name.startswith("spark.sql.") and spark.conf.isModifiable(name):
+            own.conf.set(name, value)
+    return tune(own)
+
+
 def build_session(app: str = "postlake", master: str | None = None, **settings: str) -> SparkSession:
     """A session with UTC and adaptive execution. Partition counts are left to the caller and to AQE."""
     builder = (
@@ -47,15 +61,14 @@ def build_session(app: str = "postlake", master: str | None = None, **settings:
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
-    """A new folder for ``name`` below the folder the cluster gives in ``spark.checkpoint.dir``.
+    """A new folder for ``name``, removed when the driver ends.
 
-    Only a local session may go without that setting; then a temporary folder is used. A cluster must
-    name one, because executors on other machines do not see the driver's disk.
+    It is below the folder the cluster gives in ``spark.checkpoint.dir``, or else below the warehouse:
+    both are places that executors on other machines reach too.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")
-        base = tempfile.mkdtemp(prefix="postlake-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    base = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/working"
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}")
+    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    system.mkdirs(path)
+    system.deleteOnExit(path)
+    return path.toString()

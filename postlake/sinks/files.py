@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -33,6 +33,7 @@ def write_partitioned(
 
 
 def write_bronze(bronze: DataFrame, path: str, mode: str = "overwrite", dynamic: bool = False) -> None:
+    """Bronze rows by subreddit and day. ``path`` is the table, or the folder of one load in it."""
     write_partitioned(bronze, path, fixed.BRONZE_PARTITIONS, mode, dynamic)
 
 
@@ -48,6 +49,22 @@ def write_tables(tables: dict[str, DataFrame], path: str) -> dict[str, str]:
     return folders
 
 
+def write_report(table: DataFrame, path: str, order: Sequence[Column]) -> DataFrame:
+    """Write a table in order, and give it back with the ``position`` of each row, from 1.
+
+    Rows are placed within the sorted parts, and a part begins after those before it, so no task sees all rows.
+    The parts are those of the written table and stay the same however often it is read.
+    """
+    table.orderBy(*order).withColumn("__part", F.spark_partition_id()).write.mode("overwrite").parquet(path)
+    stored = table.sparkSession.read.schema(T.StructType([*table.schema.fields, T.StructField("__part", T.IntegerType())])).parquet(path)
+    placed = stored.withColumn("__row", F.row_number().over(Window.partitionBy("__part").orderBy(*order)))
+    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = stored.groupBy("__part").agg(F.count(F.lit(1)).alias("__n"))
+    starts = sizes.select("__part", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start"))
+    joined = placed.join(starts, "__part").withColumn("position", F.col("__start") + F.col("__row"))
+    return joined.drop("__part", "__row", "__start")
+
+
 def write_per_key(df: DataFrame, path: str, key: str = "subreddit") -> None:
     """One table per key value: a folder each, all written by a single job."""
     write_partitioned(df, path, [key])
@@ -77,13 +94,38 @@ def flat_columns(df: DataFrame) -> DataFrame:
     ])
 
 
-def write_csv(df: DataFrame, path: str, mode: str = "append") -> None:
-    flat_columns(df).write.mode(mode).options(**CSV_OPTIONS).csv(path)
+def _on_one_line(text):
+    """Line breaks as ``\\n`` and ``\\r``, the backslash doubled."""
+    doubled = F.replace(text, F.lit("\\"), F.lit("\\\\"))
+    return F.replace(F.replace(doubled, F.lit("\n"), F.lit("\\n")), F.lit("\r"), F.lit("\\r"))
+
+
+def _on_many_lines(text):
+    """Undoes ``_on_one_line``: doubled backslashes are set aside first."""
+    parts = F.split(text, r"\\\\", -1)
+    broken = F.transform(parts, lambda p: F.replace(F.replace(p, F.lit("\\n"), F.lit("\n")), F.lit("\\r"), F.lit("\r")))
+    return F.array_join(broken, "\\")
+
+
+def _each_text(df: DataFrame, change) -> DataFrame:
+    return df.select(*[
+        change(F.col(f.name)).alias(f.name) if isinstance(f.dataType, T.StringType) else F.col(f.name) for f in df.schema.fields
+    ])
+
+
+def write_csv(df: DataFrame, path: str, mode: str = "append", one_line: bool = True) -> None:
+    """CSV with a header. With ``one_line`` each row is a line of the file, line breaks in texts being
+    escaped, so that large files are read in parts; without it they stand as they are, within quotes."""
+    flat = flat_columns(df)
+    (_each_text(flat, _on_one_line) if one_line else flat).write.mode(mode).options(**CSV_OPTIONS).csv(path)
 
 
-def read_csv(spark, path: str, row_type: T.StructType) -> DataFrame:
-    """Rows written by ``write_csv``; texts may hold line breaks."""
-    return spark.read.schema(row_type).options(**CSV_OPTIONS).option("multiLine", "true").csv(path)
+def read_csv(spark, path: str, row_type: T.StructType, one_line: bool = True) -> DataFrame:
+    """Rows written by ``write_csv`` with the same ``one_line``."""
+    reader = spark.read.schema(row_type).options(**CSV_OPTIONS)
+    if one_line:
+        return _each_text(reader.csv(path), _on_many_lines)
+    return reader.option("multiLine", "true").csv(path)
 
 
 def write_document(df: DataFrame, path: str) -> None:

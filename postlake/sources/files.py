@@ -18,6 +18,11 @@ def read_jsonl_messages(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path)
 
 
+def read_document(spark: SparkSession, path: str, row_type: str | T.StructType) -> DataFrame:
+    """A document that a load has written (manifest, insights), or the fields of it that are named."""
+    return spark.read.schema(row_type).json(path)
+
+
 def read_table(
     spark: SparkSession, path: str, view: str | None = None, row_type: T.StructType | None = None
 ) -> DataFrame:

@@ -49,27 +49,46 @@ def test_user_engagement(spark):
         spark, post(primary_topic="b", hour_of_day=3), post(primary_topic="a", hour_of_day=1, score=7),
         post(primary_topic="a", hour_of_day=3), post(primary_topic="b", hour_of_day=9),
     )
-    for topics in (None, ["a", "b", "c"]):
-        row = gold.user_engagement(posts, power=3, topics=topics).first()
-        assert (row["post_count"], row["max_score"], row["most_common_topic"]) == (4, 7, "a")
-        assert (row["active_hours"], row["unique_hours"], row["is_power_user"]) == ([1, 3, 3, 9], 3, True)
+    row = gold.with_active_hours(gold.user_engagement(posts, power=3)).first()
+    assert (row["post_count"], row["max_score"], row["most_common_topic"]) == (4, 7, "a")
+    assert (row["active_hours"], row["unique_hours"], row["is_power_user"]) == ([1, 3, 3, 9], 3, True)
 
 
 def test_pivot(spark):
     posts = frame(spark, post(subreddit="a", score=4), post(subreddit="b", score=0, topics=["x", "y"]))
-    rows = {r["topic"]: r.asDict() for r in gold.cross_comparison(posts).collect()}
+    compared = gold.cross_comparison(posts)
+    assert sorted((r["topic"], r["subreddit"], r["mentions"]) for r in compared.collect())[0] == ("x", "a", 1)
+    rows = {r["topic"]: r.asDict() for r in gold.cross_comparison_wide(compared).collect()}
     assert rows["x"]["a_mentions"] == 1 and rows["x"]["a_avg_score"] == 4.0
     assert rows["y"]["a_mentions"] == 0 and rows["y"]["a_avg_score"] == 0.0
-    kept = {r["topic"]: r for r in gold.cross_comparison(posts, ["a", "b"], fill=None).collect()}
+    kept = {r["topic"]: r for r in gold.cross_comparison_wide(compared, ["a", "b"], fill=None).collect()}
     assert kept["y"]["a_avg_score"] is None and kept["y"]["b_avg_score"] == 0.0
     spark.conf.set("spark.sql.pivotMaxValues", "1")
     try:
         with pytest.raises(ValueError):
-            gold.cross_comparison(posts)
+            gold.cross_comparison_wide(compared)
     finally:
         spark.conf.unset("spark.sql.pivotMaxValues")
 
 
+def test_pivot_leaves_no_value_out(spark):
+    df = spark.createDataFrame([("d", "a", 1), ("d", "b", 2), ("d", None, 3)], "date string, s string, v int")
+    total = {"n": F.sum("v")}
+    for given, rows in ((["a"], df.filter("s IS NOT NULL")), (["a", "b"], df)):
+        with pytest.raises(Exception, match="was not given"):
+            gold.pivoted(rows, ["date"], "s", total, given).collect()
+    with pytest.raises(ValueError):
+        gold.pivoted(df, ["date"], "s", total)
+    named = spark.createDataFrame([("d", "date", 1), ("d", "a", 2)], "date string, s string, v int")
+    assert gold.pivoted(named, ["date"], "s", total).first().asDict() == {"date": "d", "a_n": 2, "date_n": 1}
+
+
+def test_values_in_no_list_count(spark):
+    posts = frame(spark, *[post(primary_topic="new", sentiment="odd", entities=["a", "b"]) for _ in range(3)], post(primary_topic="a", entities=["a", "b"]))
+    assert gold.user_engagement(posts).first()["most_common_topic"] == "new"
+    assert gold.entity_network(posts).first()["dominant_sentiment"] == "odd"
+
+
 def test_peak_hours(spark):
     posts = [post(hour_of_day=h) for h, count in zip((1, 2, 3, 4, 5), (1, 2, 3, 4, 9)) for _ in range(count)]
     hourly = gold.hourly_patterns(frame(spark, *posts))
@@ -86,7 +105,6 @@ def test_entity_network(spark):
     assert pairs == [("1", "china", "us"), ("2", "china", "iran"), ("2", "china", "us"), ("2", "iran", "us")]
     rows = [tuple(r) for r in gold.entity_network(posts).collect()]
     assert rows == [("china", "us", 2, 3.5, "negative", 7.0)]
-    assert [tuple(r) for r in gold.entity_network(posts, sentiments=None).collect()] == rows
     empty = gold.entity_network(posts.limit(0))
     assert empty.columns == gold.entity_network(posts).columns and empty.count() == 0
 
@@ -113,8 +131,8 @@ def test_mentions_add_up(spark):
 
 def test_empty_input_keeps_every_schema(spark):
     one, none = frame(spark, post()), frame(spark)
-    for name, table in summaries.gold_tables(none, ["x"], values=["s"]).items():
-        assert table.schema.names == summaries.gold_tables(one, ["x"], values=["s"])[name].schema.names
+    for name, table in summaries.gold_tables(none).items():
+        assert table.schema.names == summaries.gold_tables(one)[name].schema.names
         assert table.count() == 0, name
     assert summaries.insights(none).first()["total_posts"] == 0
     assert summaries.global_stats(none).first()["body_percentage"] is None
@@ -132,6 +150,8 @@ def test_insights_ties(spark):
     row = summaries.insights(posts).first()
     assert (row["best_topic"], row["best_avg"], row["pct_above_mean"], row["peak_hour"], row["peak_count"]) == ("a", 2.0, 0.0, 0, 1)
     assert [(t["topic"], t["count"]) for t in row["top_topics"]] == [("a", 1), ("b", 1)]
+    assert [t["topic"] for t in summaries.insights(posts, k=1).first()["top_topics"]] == ["a"]
+    assert row["n_subreddits"] == 1
     assert summaries.insight_texts(summaries.insights(posts)).count() == 2
 
 

@@ -34,17 +34,34 @@ def test_partitioned_tables_keep_types_and_prune(spark, posts, tmp_path):
 
 def test_csv_and_jsonl(spark, posts, tmp_path):
     listed = posts.withColumn("comments", F.array(F.lit('a "q"'), F.lit("b\nc")))
-    files.write_csv(listed, str(tmp_path / "csv"))
-    back = files.read_csv(spark, str(tmp_path / "csv"), files.flat_columns(listed).schema).orderBy("post_id").collect()
-    assert [tuple(r)[:7] for r in back] == ROWS
-    assert json.loads(back[0]["comments"]) == ['a "q"', "b\nc"]
+    for one_line in (True, False):
+        path = str(tmp_path / f"csv{one_line}")
+        files.write_csv(listed, path, one_line=one_line)
+        back = files.read_csv(spark, path, files.flat_columns(listed).schema, one_line).orderBy("post_id").collect()
+        assert [tuple(r)[:7] for r in back] == ROWS
+        assert json.loads(back[0]["comments"]) == ['a "q"', "b\nc"]
     files.write_jsonl(listed, str(tmp_path / "json"))
     again = layers.files.read_jsonl(spark, str(tmp_path / "json"), schema.POST_WITH_COMMENTS).orderBy("post_id")
     assert [tuple(r)[:7] for r in again.collect()] == ROWS and again.first()["comments"][1] == "b\nc"
 
 
+def test_csv_keeps_backslashes_and_line_breaks(spark, tmp_path):
+    texts = ["a\\nb", "a\nb", "\\\n", "\r\n\\\\", "\\", '"\\"', "x"]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    files.write_csv(df, str(tmp_path / "csv"))
+    back = files.read_csv(spark, str(tmp_path / "csv"), df.schema)
+    assert [r["t"] for r in back.orderBy("i").collect()] == texts
+
+
+def test_report_positions(spark, tmp_path):
+    df = spark.range(1000).select(F.xxhash64("id").alias("x"), "id").repartition(7)
+    got = files.write_report(df, str(tmp_path / "report"), [F.col("x").desc()]).orderBy("position").collect()
+    assert [r["position"] for r in got] == list(range(1, 1001))
+    assert [r["x"] for r in got] == sorted((r["x"] for r in got), reverse=True)
+
+
 def test_manifest_document(spark, posts, tmp_path):
-    files.write_document(summaries.manifest(bronze.build(posts, "b1"), "b1", "topic"), str(tmp_path / "m"))
+    files.write_document(summaries.manifest_document(bronze.build(posts, "b1"), "b1", "topic"), str(tmp_path / "m"))
     row = spark.read.json(str(tmp_path / "m")).first()
     assert row["total_records"] == 2 and row["subreddits"].asDict() == {"007": 1, "a-b": 1}
 
@@ -101,9 +118,23 @@ def test_layers_from_messages(spark, posts, tmp_path):
     assert layers.read_gold(spark, layout, "daily_subreddit_stats").first()["subreddit"] == "007"
     assert spark.read.json(layout.insights).first()["total_posts"] == 2
     assert spark.read.json(layout.manifest("b1")).first()["source"] == "topic"
-    # a second load without malformed messages leaves an empty quarantine
+    document = spark.read.json(layout.insights).first()
+    assert [i["type"] for i in document["key_insights"]] == ["engagement", "timing"] and document["generated_at"]
+    # a second load without malformed messages has no quarantine of its own and leaves that of the first one
     layers.load_bronze(messages.encode(posts), layout, "b2")
-    assert spark.read.parquet(layout.quarantine).count() == 0
+    assert layers.read_quarantine(spark, layout, "b2").count() == 0 and layers.read_quarantine(spark, layout).count() == 1
+    # a load that is repeated with other messages replaces itself
+    assert layers.load_bronze(bad, layout, "b2") == {"success": 0, "failed": 1, "total": 1}
+    assert layers.read_bronze(spark, layout).count() == 4 and layers.read_quarantine(spark, layout).count() == 2
+    with pytest.raises(ValueError):
+        layers.load_bronze(bad, layout, "a/b")
+
+
+def test_a_load_writes_its_tables_to_a_database(spark, posts, tmp_path, monkeypatch):
+    calls = []
+    monkeypatch.setattr(database, "write_jdbc", lambda df, options, mode="overwrite": calls.append((options["dbtable"], df.count())))
+    layers.run_layers(spark, messages.encode(posts), str(tmp_path), "b1", to_database=lambda t: database.jdbc_options("jdbc:x", t))
+    assert calls[:2] == [("raw_posts", 2), ("processed_posts", 2)] and {name for name, _ in calls[2:]} == set(layers.GOLD_TABLES)
 
 
 def test_silver_reads_no_text_for_the_range(spark, posts, tmp_path):
@@ -115,13 +146,24 @@ def test_silver_reads_no_text_for_the_range(spark, posts, tmp_path):
     assert any("body" not in line for line in reads) and any("body" in line for line in reads)
 
 
-def test_cluster_needs_a_shared_folder(spark):
-    class Context:
-        master = "spark://somewhere"
+def test_working_folders(spark):
+    base = spark.conf.get("spark.checkpoint.dir")
+    assert session.shared_folder(spark, "x") != session.shared_folder(spark, "x")
+    assert f"{base}/x-" in session.shared_folder(spark, "x")
+
+
+def test_queries_leave_the_session_alone(spark):
+    before = {k: v for k, v in spark.conf.getAll.items() if k.startswith("spark.sql")}
+    own = session.tuned_copy(spark)
+    own.range(1).createOrReplaceTempView("only_there")
+    assert own.conf.get("spark.sql.codegen.hugeMethodLimit") == "8000"
+    assert own.conf.get("spark.sql.shuffle.partitions") == spark.conf.get("spark.sql.shuffle.partitions")
+    assert {k: v for k, v in spark.conf.getAll.items() if k.startswith("spark.sql")} == before
+    assert not spark.catalog.tableExists("only_there")
 
-    class Elsewhere:
-        conf = type("Conf", (), {"get": staticmethod(lambda name, default: None)})
-        sparkContext = Context
 
-    with pytest.raises(RuntimeError):
-        session.shared_folder(Elsewhere, "x")
+def test_merge_keeps_the_latest_arrival(spark, written):
+    rows = [("1", "2024-01-01 00:00:00", 90), ("1", "2024-01-02 00:00:00", 10)]
+    df = spark.createDataFrame(rows, "post_id string, t string, score int").selectExpr("post_id", "cast(t AS timestamp) AS kafka_ingestion_time", "score")
+    kept = stream_sinks.dedup.drop_duplicates(df).first()
+    assert kept["score"] == 10
