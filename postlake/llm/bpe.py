@@ -154,7 +154,7 @@ def encode(text: Column | str, path: str | None = None) -> Column:
         ids = pa.Array.from_buffers(pa.int32(), int(ends[-1]), [None, values])
         return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), ids)
 
-    return common.struct_column(F.arrow_udf(run, "array<int>"), text)
+    return common.struct_column(common.arrow_udf(run, "array<int>"), text)
 
 
 def decode(ids: Column | str, path: str | None = None) -> Column:
@@ -168,7 +168,7 @@ def decode(ids: Column | str, path: str | None = None) -> Column:
             out.append(own.decode(numbers).decode("utf-8", "replace"))
         return pa.array(out, pa.string())
 
-    return common.struct_column(F.arrow_udf(run, "string"), ids)
+    return common.struct_column(common.arrow_udf(run, "string"), ids)
 
 
 def encoded(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str | None = None) -> DataFrame:

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import io
+import os
 import uuid
+import zipfile
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
@@ -48,6 +51,46 @@ def as_texts(texts: pa.Array) -> list[str]:
     return pc.fill_null(texts, "").to_pylist()
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Gives this package to the Python workers of all executors, once for each application.
+
+    It goes through the shared folder as a zip file, so nothing need be installed on the executors. A package that
+    came out of a zip file itself is with them already.
+    """
+    application = spark.sparkContext.applicationId
+    top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    if application in _shipped or not os.path.isdir(top):
+        return
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as out:
+        for folder, _, names in sorted(os.walk(top)):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    out.write(path, os.path.relpath(path, os.path.dirname(top)))
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{working_folder(spark, 'code')}/{os.path.basename(top)}.zip")
+    file = path.getFileSystem(spark._jsc.hadoopConfiguration()).create(path, True)
+    file.write(packed.getvalue())
+    file.close()
+    spark.sparkContext.addPyFile(path.toString())
+    _shipped.add(application)
+
+
+def arrow_udf(run: Callable, kind: str) -> Callable[..., Column]:
+    """A function over Arrow arrays that uses this package."""
+    ship(SparkSession.active())
+    return F.arrow_udf(run, kind)
+
+
+def map_in_arrow(df: DataFrame, run: Callable, schema: str) -> DataFrame:
+    """A function over Arrow batches that uses this package."""
+    ship(df.sparkSession)
+    return df.mapInArrow(run, schema)
+
+
 def struct_column(udf: Callable[..., Column], *inputs: Column | str) -> Column:
     return udf(*[F.col(x) if isinstance(x, str) else x for x in inputs])
 

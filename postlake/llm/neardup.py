@@ -50,7 +50,7 @@ def signed(docs: DataFrame, key: str, text: str, length: int) -> DataFrame:
             columns = list(zip(*out)) or [()] * 4
             yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(c, k) for c, k in zip(columns, kinds)]], ["id", "copy", "n", "bands", "sketch"])
 
-    return docs.select(docs[key].cast("long").alias("id"), docs[text].alias("t")).mapInArrow(run, _SIGNED)
+    return common.map_in_arrow(docs.select(docs[key].cast("long").alias("id"), docs[text].alias("t")), run, _SIGNED)
 
 
 def similar(length: int, percent: int) -> Callable[..., Column]:
@@ -64,7 +64,7 @@ def similar(length: int, percent: int) -> Callable[..., Column]:
             out.append(same > 0 and 100 * same >= percent * (len(a) + len(b) - same))
         return pa.array(out, pa.bool_())
 
-    return F.arrow_udf(run, "boolean")
+    return common.arrow_udf(run, "boolean")
 
 
 def dealt(members: DataFrame, block: int = BLOCK) -> DataFrame:
@@ -128,7 +128,7 @@ def joined_in_cells(cells: DataFrame, payload: str, links: Callable[[list, list]
             yield closed()
 
     order = cells.select("g", "x", "y", "id", "label", payload).repartition("g", "x", "y").sortWithinPartitions("g", "x", "y", "id")
-    return order.mapInArrow(run, "a bigint, b bigint")
+    return common.map_in_arrow(order, run, "a bigint, b bigint")
 
 
 def sketch_links(percent: int) -> Callable[[list, list], Iterator[tuple[int, int]]]:

@@ -113,7 +113,7 @@ def verdict(text: Column | str, bands=BANDS, chunk_bytes: int = CHUNK_BYTES, max
         columns = list(zip(*rows)) or [()] * len(names)
         return pa.StructArray.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
 
-    return common.struct_column(F.arrow_udf(run, RESULT), text)
+    return common.struct_column(common.arrow_udf(run, RESULT), text)
 
 
 def keep_good(docs: DataFrame, text: str = "text", **limits) -> DataFrame:

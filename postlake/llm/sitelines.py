@@ -58,6 +58,7 @@ def boilerplate(rows: DataFrame, host: Column, text: Column, max_ratio: float =
     # explode_outer: explode would have Spark filter on the array first and so make it twice.
     pages = rows.select(host.alias("host"), F.explode_outer(own).alias("mark")).filter("host IS NOT NULL")
     counts = pages.groupBy("host", "mark").agg(F.count("*").alias("n")).filter((F.col("n") >= min_pages) | F.col("mark").isNull())
+    counts = common.written(counts, "line-counts")  # read twice, and far smaller than the texts
     totals = counts.filter("mark IS NULL").select("host", F.col("n").alias("total"))
     often = counts.filter("mark IS NOT NULL").join(totals, "host").filter(F.col("n") > max_ratio * F.col("total"))
     return often.groupBy("host").agg(F.collect_list("mark").alias("marks"))

@@ -191,7 +191,7 @@ def write_tokens(docs: DataFrame, folder: str, key: str = "doc_id", text: str =
 
     rows = docs.select(docs[key].cast("long").alias("k"), docs[text].alias("t"))
     order = rows.repartitionByRange(parts, F.col("k"), F.xxhash64("t")).sortWithinPartitions("k", F.xxhash64("t"), "t")
-    order.mapInArrow(encode, _PART).write.mode("overwrite").parquet(f"{folder}/parts")
+    common.map_in_arrow(order, encode, _PART).write.mode("overwrite").parquet(f"{folder}/parts")
 
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     bases = spark.read.schema(_PART).parquet(f"{folder}/parts").withColumn("base", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)))
@@ -207,7 +207,7 @@ def write_tokens(docs: DataFrame, folder: str, key: str = "doc_id", text: str =
             yield batch.append_column("offsets", pa.array(names, pa.string()))
 
     spread = bases.repartition(parts, "part")  # the bases come from one task, the files from many
-    spread.mapInArrow(offsets, _PART + ", base bigint, offsets string").write.mode("overwrite").parquet(f"{folder}/manifest")
+    common.map_in_arrow(spread, offsets, _PART + ", base bigint, offsets string").write.mode("overwrite").parquet(f"{folder}/manifest")
     return read_manifest(spark, folder)
 
 
@@ -240,7 +240,7 @@ def read_tokens(spark: SparkSession, folder: str, parts: int | None = None) -> D
 
     manifest = read_manifest(spark, folder)
     spread = manifest.repartition(parts or int(spark.conf.get("spark.sql.shuffle.partitions")), "part")
-    return spread.mapInArrow(read, "doc_id bigint, start bigint, ids binary")
+    return common.map_in_arrow(spread, read, "doc_id bigint, start bigint, ids binary")
 
 
 def query(spark: SparkSession, folder: str) -> DataFrame:

@@ -132,7 +132,7 @@ def counts(text: Column | str, path: str | None = None, most: int = MEMO) -> Col
             yield pa.StructArray.from_arrays([pa.array(table[:, i]) for i in range(3)], ["n_words", "n_tokens", "score"])
 
     run.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
-    return common.struct_column(F.arrow_udf(run, RESULT), text)
+    return common.struct_column(common.arrow_udf(run, RESULT), text)
 
 
 def query(spark: SparkSession, folder: str) -> DataFrame:
