@@ -183,3 +183,9 @@ def test_equal_passages_share_a_seed():
 def test_extend_reaches_the_end(size):
     a = list(range(size))
     assert passages.extend(a, a, 0, 0) == (size, size, size)
+
+
+def test_a_chain_is_cut_at_a_long_gap_only():
+    points = [(10 * i, 10 * i) for i in range(40)] + [(600 + 10 * i, 600 + 10 * i) for i in range(20)]
+    assert [(c[0][0], c[-1][0]) for c in passages.chains(points, max_gap=48)] == [(0, 390), (600, 790)]
+    assert len(list(passages.chains(points, max_gap=300))) == 1
