@@ -9,8 +9,10 @@ import numpy as np
 
 #: Positions that shingle hashes are dealt to; the permutations are over these.
 UNIVERSE = 1 << 18
-#: Bands and coordinates in each: at a similarity of 0.85 a pair shares no band with a chance of 2e-7, at 0.8 of 1e-4.
-BANDS, ROWS = 48, 8
+#: Bands of a signature. The coordinates in each follow from the similarity (see ``rows_for``): 8 at 0.85, 6 at 0.8.
+BANDS = 48
+#: Chance that a pair at the limit shares no band.
+MISS = 1e-6
 #: Words whose hashes a Python worker keeps; beyond that, new ones are kept for one text only.
 MEMO = 400_000
 #: Rows of the shifted permutation that are looked up at once.
@@ -69,7 +71,12 @@ def permutations(universe: int, coordinates: int) -> tuple[np.ndarray, np.ndarra
     return first, np.lib.stride_tricks.sliding_window_view(np.concatenate([second, second[:coordinates]]), coordinates)
 
 
-def signature(shingles: np.ndarray, bands: int = BANDS, rows: int = ROWS, universe: int = UNIVERSE) -> np.ndarray:
+def rows_for(similarity: float, bands: int = BANDS, miss: float = MISS) -> int:
+    """The most coordinates that a band may have for a pair of this similarity to share one, but for a chance of ``miss``."""
+    return max(1, max((r for r in range(1, 33) if (1 - similarity**r) ** bands <= miss), default=1))
+
+
+def signature(shingles: np.ndarray, rows: int, bands: int = BANDS, universe: int = UNIVERSE) -> np.ndarray:
     """The least value of the second permutation, shifted by 0, 1, 2, ... positions, over the first one's positions."""
     first, shifted = permutations(universe, bands * rows)
     at = np.unique(first[(shingles % np.uint64(universe)).astype(np.int64)]) if len(shingles) > STEP else first[(shingles % np.uint64(universe)).astype(np.int64)]
@@ -79,7 +86,7 @@ def signature(shingles: np.ndarray, bands: int = BANDS, rows: int = ROWS, univer
     return least
 
 
-def band_keys(least: np.ndarray, bands: int = BANDS, rows: int = ROWS) -> np.ndarray:
+def band_keys(least: np.ndarray, rows: int, bands: int = BANDS) -> np.ndarray:
     """One 64-bit key for each band, the number of the band being part of it."""
     table = least.reshape(bands, rows).astype(np.uint64)
     keys = np.arange(1, bands + 1, dtype=np.uint64)

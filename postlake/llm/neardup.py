@@ -1,6 +1,6 @@
 """MinHash near-dedup: circulant signatures, banding, exact Jaccard on full shingle sets, components.
 
-A pair that is similar enough shares a band but for a chance of 2e-7 (see ``circulant``). Every pair that shares a band
+A pair that is similar enough shares a band but for a chance below 1e-6 (see ``circulant``). Every pair that shares a band
 is then settled exactly, in three steps whose rows grow with the documents and not with their pairs:
 
 1. Copies (the same words) are one document. In each bucket of a band all documents are compared with one of them.
@@ -31,8 +31,9 @@ SLACK = 0.17
 _SIGNED = "id bigint, copy binary, n bigint, bands array<bigint>, sketch binary"
 
 
-def signed(docs: DataFrame, key: str, text: str, length: int) -> DataFrame:
+def signed(docs: DataFrame, key: str, text: str, length: int, percent: int) -> DataFrame:
     """Key, digest of the words, set size, band keys and sketch of every row."""
+    rows = circulant.rows_for(percent / 100)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -42,9 +43,9 @@ def signed(docs: DataFrame, key: str, text: str, length: int) -> DataFrame:
                 shingles = circulant.shingle_set(words, length)
                 bands, sketch = [], b""
                 if len(shingles):
-                    least = circulant.signature(shingles)
-                    bands = circulant.band_keys(least)
-                    sketch = (least[:: len(least) // SKETCH][:SKETCH] & 0xFF).astype(np.uint8).tobytes()
+                    least = circulant.signature(shingles, rows)
+                    bands = circulant.band_keys(least, rows)
+                    sketch = (np.resize(least[:: max(1, len(least) // SKETCH)], SKETCH) & 0xFF).astype(np.uint8).tobytes()
                 out.append((circulant.digest(words), len(shingles), bands, sketch))
             kinds = [pa.binary(), pa.int64(), pa.list_(pa.int64()), pa.binary()]
             columns = list(zip(*out)) or [()] * 4
@@ -181,7 +182,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", le
     with nothing; they have a null component and are kept. Repeated rows all stay in the result. An empty table
     gives an empty one; other columns are not read.
     """
-    sig = common.written(signed(docs, key, text, length), "signatures")
+    sig = common.written(signed(docs, key, text, length, percent), "signatures")
     known = sig.filter("id IS NOT NULL AND n > 0")
     # Copies: one row for each sequence of words stands for all of them.
     nodes = common.written(known.groupBy("copy").agg(F.min("id").alias("rep"), F.first("n").alias("n"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")), "nodes")

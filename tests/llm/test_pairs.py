@@ -96,10 +96,15 @@ def test_signatures_estimate_similarity():
         both = rng.integers(0, 2**63, 400, dtype=np.uint64)
         n = int(400 * (1 - share) / (2 * share))
         a, b = (np.concatenate([both, rng.integers(0, 2**63, n, dtype=np.uint64)]) for _ in range(2))
-        same = (circulant.signature(a) == circulant.signature(b)).mean()
+        same = (circulant.signature(a, 8) == circulant.signature(b, 8)).mean()
         assert abs(same - 400 / (400 + 2 * n)) < 0.08
 
 
+def test_bands_follow_the_similarity():
+    assert [circulant.rows_for(s) for s in (0.85, 0.8)] == [8, 6]
+    assert all((1 - s ** circulant.rows_for(s)) ** circulant.BANDS <= 1e-6 for s in (0.5, 0.7, 0.8, 0.85, 0.95))
+
+
 def test_components_of_paths_and_stars(spark):
     rng = random.Random(6)
     edges = [(i, i + 1) for i in range(1, 60)] + [(1000, 1000 + i) for i in range(50)] + [(7000, 6999), (None, 3)]
