@@ -13,7 +13,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
 
     Every vertex moves to the vertex of its neighbourhood that comes first in a shuffled order, and edges follow, until
     none is left; their number falls by a constant share each round. Each round is a written table, so lost executors
-    cost no more than their own tasks. Only row counts reach the driver. Edges with a null end count as none.
+    cost no more than their own tasks, and joins read plain tables, of which Spark can split a hot vertex. Only row counts reach the driver. Edges with a null end count as none.
     """
     pairs = edges.select(F.col(a).cast("long").alias("a"), F.col(b).cast("long").alias("b")).filter("a IS NOT NULL AND b IS NOT NULL")
     places = common.written(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct().select("id", F.col("id").alias("at")), "vertices")
@@ -33,5 +33,5 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         two = moves.select(F.col("from").alias("b"), F.col("to").alias("b2"))
         moved = left.join(one, "a").join(two, "b").select(F.least("a2", "b2").alias("a"), F.greatest("a2", "b2").alias("b"))
         left = common.written(moved.filter("a <> b").distinct(), "edges")
-    least = places.groupBy("at").agg(F.min("id").alias("component"))
+    least = common.written(places.groupBy("at").agg(F.min("id").alias("component")), "least")
     return common.written(places.join(least, "at").select("id", "component"), "components")

@@ -77,7 +77,8 @@ def dealt(members: DataFrame, block: int = BLOCK) -> DataFrame:
     counts = members.groupBy("g", "label").agg(F.count("*").alias("c"))
     sizes = counts.groupBy("g").agg(F.max(F.struct("c", "label")).alias("m"), F.sum("c").alias("all"))
     # Several labels may have most members; the largest of them is main.
-    rows = members.join(sizes.select("g", F.col("m.label").alias("main"), F.col("m.c").alias("n_main"), "all"), "g")
+    sizes = common.written(sizes.select("g", F.col("m.label").alias("main"), F.col("m.c").alias("n_main"), "all"), "sizes")
+    rows = members.join(sizes, "g")
     blocks = lambda n: F.greatest(F.lit(1), F.ceil(n / F.lit(block))).cast("int")
     rows = rows.withColumn("is_main", F.col("label") == F.col("main"))
     rows = rows.withColumn("others", blocks(F.col("all") - F.col("n_main"))).withColumn("mains", blocks(F.col("n_main")))
@@ -192,7 +193,9 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", le
     # Buckets of more than one node.
     rows = nodes.select(F.explode("bands").alias("g"), F.col("rep").alias("id"), "n")
     hubs = rows.groupBy("g").agg(F.min(F.struct("id", "n")).alias("hub"), F.count("*").alias("c")).filter("c > 1")
-    buckets = common.written(rows.join(hubs.select("g", F.col("hub.id").alias("hub"), F.col("hub.n").alias("hub_n")), "g"), "buckets")
+    # Written first: of a join of plain tables Spark can split a hot bucket.
+    hubs = common.written(hubs.select("g", F.col("hub.id").alias("hub"), F.col("hub.n").alias("hub_n")), "hubs")
+    buckets = common.written(rows.join(hubs, "g"), "buckets")
 
     # Everybody with the hub.
     close = F.col("id") != F.col("hub")
@@ -212,8 +215,9 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", le
     labelled = lambda df: df.join(labels.withColumnRenamed("id", "v"), F.col("id") == F.col("v"), "left").withColumn("label", F.coalesce("component", "id")).drop("v", "component")
     inside = common.written(labelled(buckets.select("g", "id")), "labelled")
     mixed = inside.groupBy("g").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("g")
-    some = inside.join(mixed, "g").join(nodes.select(F.col("rep").alias("id"), "sketch"), "id")
-    may = joined_in_cells(dealt(some.select("g", "id", "label", "sketch")), "sketch", sketch_links(percent))
+    some = inside.join(common.written(mixed, "mixed"), "g").join(nodes.select(F.col("rep").alias("id"), "sketch"), "id")
+    some = common.written(some.select("g", "id", "label", "sketch"), "members")
+    may = joined_in_cells(dealt(some), "sketch", sketch_links(percent))
     may = common.written(may.distinct(), "may")
     ends = labelled(labelled(may.withColumnRenamed("a", "id")).select("b", F.col("label").alias("la")).withColumnRenamed("b", "id"))
     groups = components(ends.select(F.col("la").alias("a"), F.col("label").alias("b")))

@@ -61,7 +61,8 @@ def boilerplate(rows: DataFrame, host: Column, text: Column, max_ratio: float =
     counts = common.written(counts, "line-counts")  # read twice, and far smaller than the texts
     totals = counts.filter("mark IS NULL").select("host", F.col("n").alias("total"))
     often = counts.filter("mark IS NOT NULL").join(totals, "host").filter(F.col("n") > max_ratio * F.col("total"))
-    return often.groupBy("host").agg(F.collect_list("mark").alias("marks"))
+    # Written, so that the join with the pages reads two plain tables: only then can Spark split the pages of a large host.
+    return common.written(often.groupBy("host").agg(F.collect_list("mark").alias("marks")), "marks")
 
 
 def drop_boilerplate(
