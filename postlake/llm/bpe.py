@@ -19,7 +19,7 @@ SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 #: Unicode tables and those of the regex package may be of different versions.
 SETTLED = "\x00-ԯ‐-₀　-鿿가-힣＀-￯\U0001f000-\U0001faff"
 #: Pretokens kept in the memo of a task; it starts anew beyond that, so memory stays bounded.
-MEMO = 400_000
+MEMO = 250_000
 
 
 def byte_letters() -> dict[int, str]:
@@ -147,11 +147,12 @@ def encode(text: Column | str, path: str | None = None) -> Column:
     path = path or common.tokenizer_path(VOCABULARY)
 
     def run(texts: pa.Array) -> pa.Array:
-        own = coder(path)
-        coded = [own.encode(x) for x in common.as_texts(texts)]
-        ends = np.cumsum([0, *(len(x) // 4 for x in coded)])
-        values = pa.py_buffer(b"".join(coded))
-        ids = pa.Array.from_buffers(pa.int32(), int(ends[-1]), [None, values])
+        own, coded, ends = coder(path), bytearray(), [0]
+        for text in common.as_texts(texts):
+            coded += own.encode(text)
+            ends.append(len(coded) // 4)
+        common.give_back()
+        ids = pa.Array.from_buffers(pa.int32(), ends[-1], [None, pa.py_buffer(coded)])
         return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), ids)
 
     return common.struct_column(common.arrow_udf(run, "array<int>"), text)
@@ -162,11 +163,13 @@ def decode(ids: Column | str, path: str | None = None) -> Column:
     path = path or common.tokenizer_path(VOCABULARY)
 
     def run(lists: pa.Array) -> pa.Array:
-        own, out = coder(path), []
+        own, texts, ends = coder(path), bytearray(), [0]
         for row in lists:
             numbers = row.values.to_numpy() if row.is_valid else np.empty(0, dtype=np.int32)
-            out.append(own.decode(numbers).decode("utf-8", "replace"))
-        return pa.array(out, pa.string())
+            texts += own.decode(numbers).decode("utf-8", "replace").encode()
+            ends.append(len(texts))
+        common.give_back()
+        return pa.StringArray.from_buffers(len(lists), pa.py_buffer(np.array(ends, dtype=np.int32)), pa.py_buffer(texts))
 
     return common.struct_column(common.arrow_udf(run, "string"), ids)
 

@@ -14,7 +14,7 @@ BANDS = 48
 #: Chance that a pair at the limit shares no band.
 MISS = 1e-6
 #: Words whose hashes a Python worker keeps; beyond that, new ones are kept for one text only.
-MEMO = 400_000
+MEMO = 100_000
 #: Rows of the shifted permutation that are looked up at once.
 STEP = 2048
 _MIX = np.uint64(0xFF51AFD7ED558CCD)

@@ -9,7 +9,6 @@ import zipfile
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,15 +39,27 @@ def tokenizer_path(name: str) -> str:
     return f"{TOKENIZERS}/{name}"
 
 
-def as_bytes(texts: pa.Array) -> list[bytes]:
-    """UTF-8 of each text, null as empty."""
+#: Rows of a batch that are turned into Python objects at once.
+SLICE = 256
+
+
+def as_bytes(texts: pa.Array) -> Iterator[bytes]:
+    """UTF-8 of each text, null as empty. The batch itself is not copied."""
     kind = pa.large_binary() if pa.types.is_large_string(texts.type) else pa.binary()
-    return [x or b"" for x in texts.cast(kind).to_pylist()]
+    column = texts.cast(kind)
+    for start in range(0, len(column), SLICE):
+        yield from (x or b"" for x in column.slice(start, SLICE).to_pylist())
 
 
-def as_texts(texts: pa.Array) -> list[str]:
+def as_texts(texts: pa.Array) -> Iterator[str]:
     """Each text, null as empty."""
-    return pc.fill_null(texts, "").to_pylist()
+    for start in range(0, len(texts), SLICE):
+        yield from (x or "" for x in texts.slice(start, SLICE).to_pylist())
+
+
+def give_back() -> None:
+    """Returns what Arrow holds of finished batches to the system: workers live on into the next stage."""
+    pa.default_memory_pool().release_unused()
 
 
 _shipped: set[str] = set()
@@ -103,7 +114,7 @@ def fresh(taken: Iterable[str], name: str) -> str:
     return name
 
 
-def blocks(texts: list[bytes], most: int = 1 << 23) -> Iterator[list[bytes]]:
+def blocks(texts: Iterable[bytes], most: int = 1 << 23) -> Iterator[list[bytes]]:
     """Runs of texts of about ``most`` bytes."""
     run, size = [], 0
     for x in texts:

@@ -49,6 +49,7 @@ def signed(docs: DataFrame, key: str, text: str, length: int, percent: int) -> D
                 out.append((circulant.digest(words), len(shingles), bands, sketch))
             kinds = [pa.binary(), pa.int64(), pa.list_(pa.int64()), pa.binary()]
             columns = list(zip(*out)) or [()] * 4
+            common.give_back()
             yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(c, k) for c, k in zip(columns, kinds)]], ["id", "copy", "n", "bands", "sketch"])
 
     return common.map_in_arrow(docs.select(docs[key].cast("long").alias("id"), docs[text].alias("t")), run, _SIGNED)

@@ -108,6 +108,7 @@ def verdict(text: Column | str, bands=BANDS, chunk_bytes: int = CHUNK_BYTES, max
 
         compressor = zstandard.ZstdCompressor(level=level)
         rows = [measure(x, compressor, bands, chunk_bytes, max_bad_share) for x in common.as_bytes(texts)]
+        common.give_back()
         kinds = [pa.int64()] * 5 + [pa.bool_()] * 2 + [pa.float64()] + [pa.int64()] * 2
         names = [*_COUNTS, "base_failed", "kept", "ratio", "n_chunks", "n_bad_chunks"]
         columns = list(zip(*rows)) or [()] * len(names)
