@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import io
 import os
-import uuid
 import zipfile
 from collections.abc import Callable, Iterable, Iterator
 
@@ -12,6 +11,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from postlake.session import shared_folder
+
 #: Words are runs of anything but these six ASCII characters; ``bytes.split()`` splits at exactly these.
 WORD_PATTERN = "[^\\x20\\x09-\\x0D]+"
 TOKENIZERS = "/opt/tokenizers"
@@ -22,9 +23,8 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def working_folder(spark: SparkSession, name: str) -> str:
-    """A new folder below ``spark.checkpoint.dir``, which all executors share; below the warehouse if that is unset."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/working"
-    return f"{base.rstrip('/')}/llm-{name}-{uuid.uuid4().hex[:12]}"
+    """A place for a new table or file in the shared folder (``session.shared_folder``); removed when the driver ends."""
+    return f"{shared_folder(spark, f'llm-{name}')}/data"
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
