@@ -16,6 +16,8 @@ from postlake.session import shared_folder
 #: Words are runs of anything but these six ASCII characters; ``bytes.split()`` splits at exactly these.
 WORD_PATTERN = "[^\\x20\\x09-\\x0D]+"
 TOKENIZERS = "/opt/tokenizers"
+#: Rows of two ids each that may be broadcast: about 16 MB.
+SMALL = 1_000_000
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -35,6 +37,11 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def if_small(ids: DataFrame, most: int = SMALL) -> DataFrame:
+    """A written table of ids, to be broadcast if it has at most ``most`` rows; else Spark joins it as it sees fit."""
+    return F.broadcast(ids) if ids.count() <= most else ids
+
+
 def tokenizer_path(name: str) -> str:
     return f"{TOKENIZERS}/{name}"
 

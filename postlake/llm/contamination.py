@@ -102,7 +102,7 @@ def leaks(
     pairs = common.written(hits.select("doc", "item"), "candidates")
 
     wide = docs.select(docs[key].alias("d"), docs[text].alias("t"))
-    texts = wide.join(pairs, F.col("d").eqNullSafe(F.col("doc"))).select("doc", "item", words(F.col("t")).alias("words"))
+    texts = wide.join(common.if_small(pairs), F.col("d").eqNullSafe(F.col("doc"))).select("doc", "item", words(F.col("t")).alias("words"))
     exact = table.select(F.col("item").alias("i"), "exact", "n")
     both = texts.join(exact, F.col("item").eqNullSafe(F.col("i")))
     same = both.select("doc", "item", "n", "exact", F.array_intersect("exact", shingles(length)).alias("same"))
@@ -117,8 +117,8 @@ def leaks(
 def drop_leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", **options) -> DataFrame:
     """The rows of ``docs`` that hold no test item, with their columns unchanged."""
     name = common.fresh(docs.columns, "leaked")
-    found = leaks(docs, items, key, **options).select(F.col(key).alias(name)).distinct()
-    return docs.join(found, docs[key].eqNullSafe(found[name]), "left_anti")
+    found = common.written(leaks(docs, items, key, **options).select(F.col(key).alias(name)).distinct(), "leaked")
+    return docs.join(common.if_small(found), docs[key].eqNullSafe(F.col(name)), "left_anti")
 
 
 def query(spark: SparkSession, folder: str) -> DataFrame:

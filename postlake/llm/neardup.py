@@ -203,10 +203,10 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", le
     close &= 100 * F.least("n", "hub_n") >= percent * F.greatest("n", "hub_n")
     stars = common.written(buckets.filter(close).select("id", "hub").distinct(), "stars")
     # Only documents that share a bucket are ever compared: their texts are gathered once, for all that follows.
-    needed = buckets.select(F.col("id").alias("v")).distinct()
+    needed = common.written(buckets.select(F.col("id").alias("v")).distinct(), "needed")
     texts = docs.select(docs[key].cast("long").alias("k"), docs[text].alias("t"))
-    texts = common.written(texts.join(needed, F.col("k") == F.col("v"), "left_semi"), "texts")
-    left = stars.join(texts, F.col("id") == F.col("k")).select("id", "hub", F.col("t").alias("t1"))
+    texts = common.written(texts.join(common.if_small(needed), F.col("k") == F.col("v"), "left_semi"), "texts")
+    left = common.if_small(stars).join(texts, F.col("id") == F.col("k")).select("id", "hub", F.col("t").alias("t1"))
     both = left.join(texts, F.col("hub") == F.col("k")).select("id", "hub", "t1", "t")
     first = both.filter(similar(length, percent)("t1", "t")).select(F.col("id").alias("a"), F.col("hub").alias("b"))
     first = common.written(first.unionAll(same_key), "links")
@@ -244,6 +244,7 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", length: i
     found = common.written(near_duplicates(docs, key, text, length, percent), "near")
     name = common.fresh(docs.columns, "key")
     gone = found.filter(~F.col("kept")).select(F.col(key).alias(name)).distinct()
+    gone = common.if_small(common.written(gone, "gone"))
     stay = docs.join(gone, docs[key] == gone[name], "left_anti")
     twice = found.filter(F.col("kept") & F.col(key).isNotNull()).groupBy(F.col(key).alias(name)).agg(F.count("*").alias("c"), F.max("n_shingles").alias("most"))
     twice = common.written(twice.filter("c > 1 AND most > 0").select(name), "repeated")
