@@ -13,13 +13,17 @@ def ranked(df: DataFrame, keys: Sequence[str], order: Sequence[Column], name: st
     return df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
 
 
-def top_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int = 1) -> DataFrame:
+def top_per_key(
+    df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int = 1, early_cut: bool = True
+) -> DataFrame:
     """The first ``n`` rows of each key.
 
     Spark turns the rank filter into a group limit that runs before the shuffle as well, so a hot key
-    sends at most ``n`` rows per map task.
+    sends at most ``n`` rows per map task. That sorts all rows once more; without ``early_cut`` it is left
+    out, for tables in which hardly a key repeats.
     """
-    return ranked(df, keys, order, "__rank").filter(F.col("__rank") <= n).drop("__rank")
+    rank = F.col("__rank") if early_cut else F.abs("__rank")  # Spark cuts early by a plain rank only
+    return ranked(df, keys, order, "__rank").filter(rank <= n).drop("__rank")
 
 
 # What makes a row the latest: its load, or in a stream its arrival, then what settles equal times.
@@ -37,11 +41,11 @@ def latest_order(df: DataFrame, key: str = "post_id", lead: Sequence[str] = LATE
 
 
 def drop_duplicates(
-    df: DataFrame, key: str = "post_id", order: Sequence[Column] | None = None
+    df: DataFrame, key: str = "post_id", order: Sequence[Column] | None = None, early_cut: bool = True
 ) -> DataFrame:
     """The latest row of every key. Rows without a key belong in quarantine and are not kept."""
     keyed = df.filter(F.col(key).isNotNull())
-    return top_per_key(keyed, [key], order or latest_order(keyed, key))
+    return top_per_key(keyed, [key], order or latest_order(keyed, key), early_cut=early_cut)
 
 
 def duplicate_counts(df: DataFrame, key: str = "post_id") -> DataFrame:

@@ -145,6 +145,16 @@ def test_reading_order(spark):
     assert [(r["subreddit"], r["date"].day) for r in rows] == [("a", 31), ("a", 1), ("b", 1)]
 
 
+def test_early_cut_changes_no_row(spark):
+    from postlake.operators import dedup
+
+    df = spark.range(300).selectExpr("cast(id % 40 AS string) AS post_id", "cast(id % 7 AS int) AS score", "id")
+    rows = [sorted(map(tuple, dedup.drop_duplicates(df, early_cut=cut).collect())) for cut in (True, False)]
+    assert rows[0] == rows[1] and len(rows[0]) == 40
+    plans = [dedup.drop_duplicates(df, early_cut=cut)._jdf.queryExecution().executedPlan().toString() for cut in (True, False)]
+    assert ["WindowGroupLimit" in plan for plan in plans] == [True, False]
+
+
 def test_insights_ties(spark):
     posts = frame(spark, post(primary_topic="b", score=2), post(primary_topic="a", score=2, hour_of_day=4))
     row = summaries.insights(posts).first()
