@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import json
 from array import array
 
@@ -19,7 +20,7 @@ SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 #: Unicode tables and those of the regex package may be of different versions.
 SETTLED = "\x00-ԯ‐-₀　-鿿가-힣＀-￯\U0001f000-\U0001faff"
 #: Pretokens kept in the memo of a task; it starts anew beyond that, so memory stays bounded.
-MEMO = 250_000
+MEMO = 200_000
 
 
 def byte_letters() -> dict[int, str]:
@@ -35,14 +36,10 @@ class Coder:
     def __init__(self, path: str, memo: int = MEMO):
         import regex
         import tiktoken
-        from tokenizers import Tokenizer
 
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
-        self.library = Tokenizer.from_file(path)
-        self.library.no_truncation()
-        self.library.no_padding()
-        self.merge_letters = self.library.model.tokenize
+        self.path = path
         self.letters = byte_letters()
         back = {c: b for b, c in self.letters.items()}
         self.pieces: list[bytes] = [b""] * (1 + max([*spec["model"]["vocab"].values(), *(x["id"] for x in spec["added_tokens"])]))
@@ -73,6 +70,16 @@ class Coder:
         self.starts = np.concatenate([[0], np.cumsum(self.lengths)])
         self.joined = np.frombuffer(b"".join(self.pieces), dtype=np.uint8)
 
+    @functools.cached_property
+    def library(self):
+        """The library's own tokenizer, which rare texts and fragments go through; loaded when the first one comes."""
+        from tokenizers import Tokenizer
+
+        found = Tokenizer.from_file(self.path)
+        found.no_truncation()
+        found.no_padding()
+        return found
+
     def pretokens(self, text: str) -> list[str]:
         if self.unsettled(text) is None:
             return self.split(text)
@@ -95,7 +102,7 @@ class Coder:
         try:
             ids = self.merge(data.decode())
         except UnicodeDecodeError:  # cut inside a character
-            ids = [t.id for t in self.merge_letters(data.decode("latin-1").translate(self.translate))]
+            ids = [t.id for t in self.library.model.tokenize(data.decode("latin-1").translate(self.translate))]
         return array("i", ids).tobytes()
 
     def pretoken(self, text: str) -> bytes:

@@ -91,7 +91,7 @@ def test_forced_boundaries():
     for _ in range(500):
         data = bytes(rng.randrange(256) for _ in range(rng.randint(1, 90)))
         assert b"".join(coder.cut(data)) == data
-        whole = [t.id for t in coder.merge_letters(data.decode("latin-1").translate(coder.translate))]
+        whole = [t.id for t in coder.library.model.tokenize(data.decode("latin-1").translate(coder.translate))]
         parts = b"".join(coder.fragment(x) for x in coder.cut(data))
         assert np.frombuffer(parts, dtype=np.int32).tolist() == whole
     assert len(coder.cut("\x00日".encode() * 40)) > 1
