@@ -146,6 +146,24 @@ def coder(path: str) -> Coder:
     return _coders[path]
 
 
+def _encoded(texts: pa.Array, own: Coder) -> pa.ListArray:
+    coded, ends = bytearray(), [0]
+    for text in common.as_texts(texts):
+        coded += own.encode(text)
+        ends.append(len(coded) // 4)
+    ids = pa.Array.from_buffers(pa.int32(), ends[-1], [None, pa.py_buffer(coded)])
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), ids)
+
+
+def _decoded(lists: pa.ListArray, own: Coder) -> pa.StringArray:
+    texts, ends = bytearray(), [0]
+    for row in lists:
+        numbers = row.values.to_numpy() if row.is_valid else np.empty(0, dtype=np.int32)
+        texts += own.decode(numbers).decode("utf-8", "replace").encode()
+        ends.append(len(texts))
+    return pa.StringArray.from_buffers(len(lists), pa.py_buffer(np.array(ends, dtype=np.int32)), pa.py_buffer(texts))
+
+
 def encode(text: Column | str, path: str | None = None) -> Column:
     """Ids of each whole text, as the tokenizers library gives with ``add_special_tokens=False``.
 
@@ -154,13 +172,7 @@ def encode(text: Column | str, path: str | None = None) -> Column:
     path = path or common.tokenizer_path(VOCABULARY)
 
     def run(texts: pa.Array) -> pa.Array:
-        own, coded, ends = coder(path), bytearray(), [0]
-        for text in common.as_texts(texts):
-            coded += own.encode(text)
-            ends.append(len(coded) // 4)
-        common.give_back()
-        ids = pa.Array.from_buffers(pa.int32(), ends[-1], [None, pa.py_buffer(coded)])
-        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), ids)
+        return _encoded(texts, coder(path))
 
     return common.struct_column(common.arrow_udf(run, "array<int>"), text)
 
@@ -170,21 +182,28 @@ def decode(ids: Column | str, path: str | None = None) -> Column:
     path = path or common.tokenizer_path(VOCABULARY)
 
     def run(lists: pa.Array) -> pa.Array:
-        own, texts, ends = coder(path), bytearray(), [0]
-        for row in lists:
-            numbers = row.values.to_numpy() if row.is_valid else np.empty(0, dtype=np.int32)
-            texts += own.decode(numbers).decode("utf-8", "replace").encode()
-            ends.append(len(texts))
-        common.give_back()
-        return pa.StringArray.from_buffers(len(lists), pa.py_buffer(np.array(ends, dtype=np.int32)), pa.py_buffer(texts))
+        return _decoded(lists, coder(path))
 
     return common.struct_column(common.arrow_udf(run, "string"), ids)
 
 
+def round_trip(text: Column | str, path: str | None = None) -> Column:
+    """``encode`` and ``decode`` of each text as a struct (``ids``, ``decoded``), in one Python worker instead of two."""
+    path = path or common.tokenizer_path(VOCABULARY)
+
+    def run(texts: pa.Array) -> pa.Array:
+        ids = _encoded(texts, coder(path))
+        decoded = _decoded(ids, coder(path))
+        common.give_back()
+        return pa.StructArray.from_arrays([ids, decoded], ["ids", "decoded"])
+
+    return common.struct_column(common.arrow_udf(run, "struct<ids:array<int>,decoded:string>"), text)
+
+
 def encoded(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str | None = None) -> DataFrame:
     """``key``, ids and decoded text of each row."""
-    coded = docs.select(docs[key], encode(docs[text], path).alias("ids"))
-    return coded.select(coded[key], "ids", decode("ids", path).alias("decoded"))
+    coded = docs.select(docs[key], round_trip(docs[text], path).alias("coded"))
+    return coded.select(coded[key], "coded.ids", "coded.decoded")
 
 
 def query(spark: SparkSession, folder: str) -> DataFrame:

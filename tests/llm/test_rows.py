@@ -85,6 +85,11 @@ def test_bpe_equals_library(spark, folder, texts, make):
     assert rows(bpe.digest(bpe.encoded(make(ODD))), *names) == {i: plain(t or "") for i, t in enumerate(ODD)}
 
 
+def test_decoding_by_itself(make):
+    df = make(ODD).select("doc_id", bpe.encode("text").alias("ids")).select("doc_id", bpe.decode("ids").alias("back"))
+    assert rows(df, "doc_id", "back") == {i: (t or "",) for i, t in enumerate(ODD)}
+
+
 def test_forced_boundaries():
     coder = bpe.Coder(common.tokenizer_path(bpe.VOCABULARY))
     rng = random.Random(2)
