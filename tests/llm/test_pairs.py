@@ -152,6 +152,49 @@ def test_passages_on_planted_rows(make):
     assert passages.passages(docs.limit(0)).collect() == []
 
 
+def test_passages_with_a_gap_between_them(make):
+    """Two equal passages, 30 to 75 differing words apart: one row for both if 0.8 of it is equal, else each by itself."""
+    rng = random.Random(12)
+    words = vocabulary(5)
+    some = lambda n: [rng.choice(words) for _ in range(n)]
+    other = lambda n, sign: [f"{sign}{rng.random()}" for _ in range(n)]
+    rows, want, whole = [], {}, {}
+    for gap in (10, 20, 30, 35, 50, 75):
+        for a, b in ((60, 60), (60, 140), (150, 70)):
+            one, two, near = some(a), some(b), len(rows)
+            rows.append(" ".join(["x"] + one + other(gap, "p") + two + ["y"]))
+            rows.append(" ".join(["u"] + one + other(gap, "q") + two + ["v"]))
+            want[near + 1] = [(1, 1 + a, a), (1 + a + gap, 1 + a + gap + b, b)]
+            if a + b >= 0.8 * (a + gap + b):
+                whole[near + 1] = [(1, 1 + a + gap + b, a + b)]
+    found = {}
+    for r in passages.passages(make(rows)).collect():
+        assert (r.source_id, r.source_start, r.source_end) == (r.doc_id - 1, r.start, r.end)
+        found.setdefault(r.doc_id, []).append((r.start, r.end, r.n_equal))
+    # Where the gap costs more than the seeds of a part are worth, the parts are chains of their own.
+    assert all(sorted(found.get(k, [])) in ([v] if k not in whole else [v, whole[k]]) for k, v in want.items())
+    assert set(found) == set(want) and any(found[k] == v for k, v in whole.items())
+
+
+def test_alike_passages_are_all_and_longest():
+    rng = random.Random(13)
+    for _ in range(300):
+        runs, x, y = [], 0, 0
+        for _ in range(rng.randint(0, 12)):
+            x, y, n = x + rng.randint(0, 20), y + rng.randint(0, 20), rng.randint(1, 60)
+            runs.append((x, y, n))
+            x, y = x + n, y + n
+        good = []
+        for i in range(len(runs)):
+            for j in range(i, len(runs)):
+                s, t, e, f = *runs[i][:2], runs[j][0] + runs[j][2], runs[j][1] + runs[j][2]
+                equal = sum(n for _, _, n in runs[i : j + 1])
+                if min(e - s, f - t) >= 50 and equal >= 0.8 * max(e - s, f - t):
+                    good.append((s, e, t, f, equal))
+        longest = [p for p in good if not any(q != p and q[0] <= p[0] and p[1] <= q[1] for q in good)]
+        assert list(passages.alike(runs, 50, 0.8)) == longest
+
+
 def plain_chain_score(points):
     points = sorted(set(points))
     best = []
