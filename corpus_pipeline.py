@@ -14,8 +14,11 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the lines that too large a share of their source's documents have; ``n_chars`` follows the text."""
-    out = sitelines.drop_boilerplate(docs, host="source", text="text")
+    """Texts without the lines that too large a share of their source's documents have; ``n_chars`` follows the text.
+
+    Copies count as one document, as the next stage keeps one of them, whole.
+    """
+    out = sitelines.drop_boilerplate(docs, host="source", text="text", once=True)
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 

@@ -45,8 +45,10 @@ def _mark(line: Column) -> Column:
     return F.struct(F.xxhash64(line).alias("a"), F.xxhash64(line, F.lit(1)).alias("b"))
 
 
-def boilerplate(rows: DataFrame, host: Column, text: Column, max_ratio: float = MAX_RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
-    """For each host the marks of its boilerplate lines.
+def boilerplate(
+    rows: DataFrame, host: Column, text: Column, max_ratio: float = MAX_RATIO, min_pages: int = MIN_PAGES, once: bool = False,
+) -> DataFrame:
+    """For each host the marks of its boilerplate lines; with ``once``, pages of the same lines count as one page.
 
     A line counts once for each page that has it. Each task counts its own pages first, so a host or a line that a
     third of all pages have is one row of each task in the shuffle. A host has at most (mean lines of a page) /
@@ -54,9 +56,12 @@ def boilerplate(rows: DataFrame, host: Column, text: Column, max_ratio: float =
     """
     # Each page gives its distinct lines and, under a null mark, itself: counts and totals come from one shuffle.
     seen = F.array_distinct(F.transform(F.filter(_lines(text), lambda x: x != ""), _mark))
-    own = F.concat(seen, F.array(F.lit(None).cast("struct<a:bigint,b:bigint>")))
+    pages = rows.select(host.alias("host"), seen.alias("seen"))
+    if once:
+        pages = pages.withColumns({"a": F.xxhash64("seen"), "b": F.xxhash64(F.lit(1), "seen")}).dropDuplicates(["host", "a", "b"])
+    own = F.concat("seen", F.array(F.lit(None).cast("struct<a:bigint,b:bigint>")))
     # explode_outer: explode would have Spark filter on the array first and so make it twice.
-    pages = rows.select(host.alias("host"), F.explode_outer(own).alias("mark")).filter("host IS NOT NULL")
+    pages = pages.select("host", F.explode_outer(own).alias("mark")).filter("host IS NOT NULL")
     counts = pages.groupBy("host", "mark").agg(F.count("*").alias("n")).filter((F.col("n") >= min_pages) | F.col("mark").isNull())
     counts = common.written(counts, "line-counts")  # read twice, and far smaller than the texts
     totals = counts.filter("mark IS NULL").select("host", F.col("n").alias("total"))
@@ -67,17 +72,18 @@ def boilerplate(rows: DataFrame, host: Column, text: Column, max_ratio: float =
 
 def drop_boilerplate(
     rows: DataFrame, host: str = "source", text: str = "text", max_ratio: float = MAX_RATIO, min_pages: int = MIN_PAGES,
-    removed: str | None = None,
+    removed: str | None = None, once: bool = False,
 ) -> DataFrame:
     """``rows`` without the boilerplate lines of their hosts, with the columns unchanged.
 
     For every host, the pages with a line are divided by all pages of the host, and lines above ``max_ratio`` go from
     every page, all their occurrences. Lines are compared without blanks around them; empty ones stay. Rows without a
     host are left as they are; a null text stays null and counts as a page without lines; repeated rows count as a page
-    each. An empty table gives an empty one. ``removed`` names a column for the number of lines taken away.
+    each, or with ``once`` all pages of a host that have the same lines as a single one, so that copies don't make their
+    text boilerplate. An empty table gives an empty one. ``removed`` names a column for the number of lines taken away.
     """
     names = rows.columns
-    marked = boilerplate(rows, rows[host], rows[text], max_ratio, min_pages)
+    marked = boilerplate(rows, rows[host], rows[text], max_ratio, min_pages, once)
     site, marks, kept, gone = (common.fresh(names, x) for x in ("site", "marks", "kept", "gone"))
     marked = marked.select(F.col("host").alias(site), F.col("marks").alias(marks))
     joined = rows.join(marked, rows[host] == F.col(site), "left")

@@ -56,6 +56,17 @@ def test_stages(spark, folder, documents):
     assert {(r.doc_id, r.ids_sha256) for r in whole.collect()} == {(r.doc_id, r.ids_sha256) for r in coded}
 
 
+def test_a_group_of_copies_leaves_one_whole_text(spark, folder, documents, make):
+    """Copies that are 40 % of a source: one row with the full text comes out, and no empty one."""
+    good = [r.text for r in documents.orderBy("doc_id").collect() if plain_quality(r.text)[-1]]
+    good = list(dict.fromkeys(good))[:13]
+    docs = make([good[0]] * 8 + good[1:])
+    for _, stage in corpus_pipeline.STAGES[:3]:
+        docs = spark.createDataFrame(stage(spark, docs, folder).collect(), docs.schema)
+    found = [r.text for r in docs.collect()]
+    assert found.count(good[0]) == 1 and "" not in found
+
+
 def test_stages_on_odd_rows(spark, folder, make):
     docs = make([None, "", "word " * 40, "x" * 3000, "one two three four five six seven eight nine ten " * 3])
     docs = docs.unionAll(docs)
