@@ -7,6 +7,10 @@ from pyspark.sql import functions as F
 
 from postlake.llm import bpe, common, contamination, neardup, quality, sitelines
 
+#: A source here is many sites, and no line of it is on a third of its documents, as a menu is on the pages of one site.
+#: A line that one document in twenty repeats, and five at least, is not a document's own.
+LINE_RATIO = 0.05
+
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and the compression bands."""
@@ -18,7 +22,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Copies count as one document, as the next stage keeps one of them, whole.
     """
-    out = sitelines.drop_boilerplate(docs, host="source", text="text", once=True)
+    out = sitelines.drop_boilerplate(docs, host="source", text="text", max_ratio=LINE_RATIO, once=True)
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 

@@ -67,6 +67,16 @@ def test_a_group_of_copies_leaves_one_whole_text(spark, folder, documents, make)
     assert found.count(good[0]) == 1 and "" not in found
 
 
+def test_lines_of_a_source_of_many_sites(spark, folder, make):
+    """A line on 8 % of the documents goes, those on 4 % or on four documents stay."""
+    rows = [f"own {i}\n{'repeated' if i < 16 else 'not'} {'' if i < 16 else i}\n{'seldom' if i % 25 < 1 else f'line {i}'}" for i in range(200)]
+    docs = make(rows + ["few", "few\na", "few\nb", "few\nc", "d"], ["many"] * 200 + ["small"] * 5)
+    out = by_id(dict(corpus_pipeline.STAGES)["line dedup"](spark, docs, folder))
+    assert not any("repeated" in r.text for r in out.values()) and out[3].text == "own 3\nline 3"
+    assert sum("seldom" in r.text for r in out.values()) == 8 and sum("few" in r.text for r in out.values()) == 4
+    assert all(out[i].text == rows[i] for i in range(16, 200)) and all(r.n_chars == len(r.text) for r in out.values())
+
+
 def test_stages_on_odd_rows(spark, folder, make):
     docs = make([None, "", "word " * 40, "x" * 3000, "one two three four five six seven eight nine ten " * 3])
     docs = docs.unionAll(docs)
