@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from postlake.llm import bpe, contamination, licenses, neardup, passages, pii, quality, sitelines, tokenfiles, unigram
+from postlake.llm import bpe, contamination, licenses, neardup, passages, pii, quality, repair, sitelines, tokenfiles, unigram
 
 QUERIES = {
     "op1_licenses": licenses.query,
@@ -15,9 +15,11 @@ QUERIES = {
     "op8_token_counts": unigram.query,
     "op9_leaks": contamination.query,
     "op10_near_duplicates": neardup.query,
+    "op11_conversations": repair.query,
 }
 SQL = {
     "op1_licenses": licenses.SQL,
     "op5_site_lines": sitelines.SQL,
     "op9_leaks": contamination.SQL,
+    "op11_conversations": repair.SQL,
 }
