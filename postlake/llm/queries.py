@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from postlake.llm import bpe, contamination, licenses, neardup, passages, pii, quality, repair, sitelines, tokenfiles, unigram
+from postlake.llm import bpe, collocations, contamination, licenses, neardup, passages, pii, prefixjoin, quality, repair, sitelines, tokenfiles, unigram
 
 QUERIES = {
     "op1_licenses": licenses.query,
@@ -16,10 +16,13 @@ QUERIES = {
     "op9_leaks": contamination.query,
     "op10_near_duplicates": neardup.query,
     "op11_conversations": repair.query,
+    "op12_collocations": collocations.query,
+    "op13_jaccard_join": prefixjoin.query,
 }
 SQL = {
     "op1_licenses": licenses.SQL,
     "op5_site_lines": sitelines.SQL,
     "op9_leaks": contamination.SQL,
     "op11_conversations": repair.SQL,
+    "op12_collocations": collocations.SQL,
 }
