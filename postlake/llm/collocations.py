@@ -25,9 +25,9 @@ from postlake.llm import common
 #: Words of a phrase at most; occurrences of one at least; phrases that are returned of each language.
 DEPTH, LEAST, TOP = 5, 100, 2000
 #: Characters of text for each range of suffixes, and places of it that are looked at to find the boundaries.
-RANGE, LOOKS = 1 << 24, 24
+RANGE, LOOKS = 1 << 23, 24
 #: Bytes of text whose suffixes are sorted at once.
-BLOCK = 1 << 22
+BLOCK = 1 << 21
 #: Characters that are read at a place of the sample.
 SNIPPET = 400
 #: Suffixes that are counted at once when a partition is small.
