@@ -56,7 +56,17 @@ def daily_stats(
     calendar: bool = False,
 ) -> DataFrame:
     """Statistics per key and day, with growth of the post count."""
-    daily = posts.groupBy(key, F.to_date(time).alias("date")).agg(
+    return with_growth(daily_base(posts, key, time, score), "total_posts", "posts_growth_rate", [key], calendar)
+
+
+def with_growth(table: DataFrame, value: str, name: str, keys: Sequence[str], calendar: bool = False) -> DataFrame:
+    """A table of days with the growth of ``value`` from day to day."""
+    return table.withColumn(name, features.growth_rate(value, keys, calendar=calendar))
+
+
+def daily_base(posts: DataFrame, key: str = "subreddit", time: str = "created_datetime", score: str = "score") -> DataFrame:
+    """``daily_stats`` without the growth: what a day's own rows give."""
+    return posts.groupBy(key, F.to_date(time).alias("date")).agg(
         _rows().alias("total_posts"),
         F.sum(score).alias("total_score"),
         _mean(score, 2).alias("avg_score"),
@@ -68,8 +78,6 @@ def daily_stats(
         _mean("entity_count", 1).alias("avg_entity_count"),
         F.count_if("has_body").alias("posts_with_body"),
     )
-    growth = features.growth_rate("total_posts", [key], calendar=calendar)
-    return daily.withColumn("posts_growth_rate", growth)
 
 
 def _without_empty(exploded: DataFrame, column: str) -> DataFrame:
@@ -99,15 +107,22 @@ def trending_topics(
 ) -> DataFrame:
     """Topic mentions per day and subreddit. Trending: growth above ``growth`` percent and more than
     ``volume`` mentions; NULL on the first day of a topic that has the volume."""
-    stats = exploded_topics(posts).groupBy("date", "topic", "subreddit").agg(
+    return with_trend(topic_base(posts), growth, volume, calendar)
+
+
+def topic_base(posts: DataFrame) -> DataFrame:
+    """``trending_topics`` without the growth: what a day's own rows give."""
+    return exploded_topics(posts).groupBy("date", "topic", "subreddit").agg(
         _rows().alias("mention_count"),
         _mean("score", 2).alias("avg_score"),
         F.sum("score").alias("total_score"),
         _mean_sentiment().alias("avg_sentiment"),
         _mean("entity_count", 1).alias("avg_entities"),
     )
-    rate = features.growth_rate("mention_count", ["topic", "subreddit"], calendar=calendar)
-    grown = stats.withColumn("mention_growth_rate", rate)
+
+
+def with_trend(stats: DataFrame, growth: float = 50, volume: int = 5, calendar: bool = False) -> DataFrame:
+    grown = with_growth(stats, "mention_count", "mention_growth_rate", ["topic", "subreddit"], calendar)
     hot = (F.col("mention_growth_rate") > growth) & (F.col("mention_count") > volume)
     return grown.withColumn("is_trending", hot)
 
@@ -190,10 +205,35 @@ def hourly_patterns(posts: DataFrame, quantile: float = 0.75) -> DataFrame:
         _mean_sentiment().alias("avg_sentiment"),
         F.count_if(F.col("engagement_category") == fixed.TOP_ENGAGEMENT).alias("viral_posts"),
     )
+    return with_peaks(hourly, quantile)
+
+
+def with_peaks(hourly: DataFrame, quantile: float = 0.75) -> DataFrame:
     level = F.percentile_approx("post_count", quantile).over(Window.partitionBy("subreddit"))
     return hourly.withColumn("is_peak_hour", F.col("post_count") >= level)
 
 
+def hourly_parts(posts: DataFrame, *by: str) -> DataFrame:
+    """Sums, for each value of ``by``, from which ``hourly_from_parts`` makes ``hourly_patterns``."""
+    return posts.groupBy(*by, "subreddit", "hour_of_day").agg(
+        _rows().alias("post_count"),
+        F.count("score").alias("scored"),
+        F.sum("score").alias("total_score"),
+        F.count("sentiment_polarity").alias("felt"),
+        F.sum("sentiment_polarity").alias("sentiment_sum"),
+        F.count_if(F.col("engagement_category") == fixed.TOP_ENGAGEMENT).alias("viral_posts"),
+    )
+
+
+def hourly_from_parts(parts: DataFrame, quantile: float = 0.75) -> DataFrame:
+    sums = parts.groupBy("subreddit", "hour_of_day").agg(*[F.sum(c).alias(c) for c in ("post_count", "scored", "total_score", "felt", "sentiment_sum", "viral_posts")])
+    hourly = sums.select(
+        "subreddit", "hour_of_day", "post_count", F.round(F.try_divide("total_score", "scored"), 2).alias("avg_score"), "total_score",
+        features.steady_round(F.try_divide("sentiment_sum", "felt"), 3).alias("avg_sentiment"), "viral_posts",
+    )
+    return with_peaks(hourly, quantile)
+
+
 def peak_hours(hourly: DataFrame) -> DataFrame:
     """The peak hours of each subreddit as a list (24 at most)."""
     peaks = hourly.filter("is_peak_hour").groupBy("subreddit")
@@ -221,10 +261,33 @@ def entity_network(posts: DataFrame, min_count: int = 2) -> DataFrame:
         _mean("score", 2).alias("avg_score"),
         features.dominant(F.col("sentiment")).alias("dominant_sentiment"),
     )
+    return with_strength(pairs, min_count)
+
+
+def with_strength(pairs: DataFrame, min_count: int = 2) -> DataFrame:
     strength = F.round(F.col("co_occurrence_count") * F.col("avg_score"), 2)
     return pairs.filter(F.col("co_occurrence_count") >= min_count).withColumn("relationship_strength", strength)
 
 
+def network_parts(posts: DataFrame, *by: str) -> DataFrame:
+    """Sums, for each value of ``by``, from which ``network_from_parts`` makes ``entity_network``."""
+    return entity_pairs(posts, *by, "score", "sentiment").groupBy(*by, "entity_1", "entity_2", "sentiment").agg(
+        _rows().alias("posts"), F.count("score").alias("scored"), F.sum("score").alias("total_score")
+    )
+
+
+def network_from_parts(parts: DataFrame, min_count: int = 2) -> DataFrame:
+    """The most frequent sentiment, of equal ones the first, is the largest count with the smallest name."""
+    labels = parts.groupBy("entity_1", "entity_2", "sentiment").agg(*[F.sum(c).alias(c) for c in ("posts", "scored", "total_score")])
+    rank = F.when(F.col("sentiment").isNotNull(), F.struct((-F.col("posts")).alias("n"), "sentiment"))
+    pairs = labels.groupBy("entity_1", "entity_2").agg(
+        F.sum("posts").alias("co_occurrence_count"),
+        F.round(F.try_divide(F.sum("total_score"), F.sum("scored")), 2).alias("avg_score"),
+        F.min(rank)["sentiment"].alias("dominant_sentiment"),
+    )
+    return with_strength(pairs, min_count)
+
+
 def sentiment_timeseries(posts: DataFrame, volatile: float = 0.3) -> DataFrame:
     """Sentiment per subreddit, day and hour."""
     hourly = posts.groupBy(

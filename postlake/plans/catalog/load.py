@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from postlake import schema
 from postlake.functions import text
 from postlake.operators import bronze, dedup, silver, summaries
 from postlake.plans import layers
@@ -12,8 +13,10 @@ from postlake.plans.catalog import registry, sql
 from postlake.plans.catalog.registry import query
 from postlake.session import shared_folder
 from postlake.sinks import files as sink
+from postlake.sinks.keyed import KeyedTable
 from postlake.sources import files, messages
 from postlake.sources.testtables import FRAGMENTS
+from postlake.streaming import sinks as stream_sinks
 
 MALFORMED = """
   SELECT text AS raw_value, 'unreadable' AS reason FROM documents
@@ -224,10 +227,15 @@ def append_quarantine(spark: SparkSession, folder: str) -> DataFrame:
   FROM streamed UNION ALL SELECT post_id, score - 1, kafka_ingestion_time + INTERVAL 1 DAY, 1 FROM streamed
 """)
 def merged_versions(spark: SparkSession, folder: str) -> DataFrame:
-    """Two versions of each post, the later one with the smaller score: the rows a merge keeps when both come in
-    one batch, and when they come in two, of which the second one is merged over the first."""
+    """Two versions of each post, the later one with the smaller score, merged into a stored table: at once, and one after
+    the other, after which the earlier batch comes late and the later one again."""
     early = registry.streamed_posts(spark, folder)
     later = early.withColumns({"score": F.col("score") - 1, "kafka_ingestion_time": F.col("kafka_ingestion_time") + F.expr("INTERVAL 1 DAY")})
-    one = dedup.drop_duplicates(early.unionByName(later)).withColumn("batches", F.lit(1))
-    two = dedup.drop_duplicates(later).withColumn("batches", F.lit(2))
-    return one.unionByName(two).select("post_id", "score", "kafka_ingestion_time", "batches")
+    found = None
+    for batches in ([early.unionByName(later)], [early, later, early, later]):
+        table = KeyedTable(spark, shared_folder(spark, "merged"), schema.STREAM_ROW, buckets=8)
+        for number, batch in enumerate(batches):
+            stream_sinks.merge_into(table)(batch, number)
+        rows = table.read().select("post_id", "score", "kafka_ingestion_time", F.lit(min(len(batches), 2)).alias("batches"))
+        found = rows if found is None else found.unionByName(rows)
+    return found

@@ -102,6 +102,29 @@ def test_database_fan_out_and_append(spark, posts, written):
     assert written == [("raw_a_b", "overwrite", ["1"]), ("raw_007", "overwrite", ["2"]), ("posts", "append", ["1", "2"]), ("one", "overwrite", ["1", "2"])]
 
 
+def test_fan_out_refuses_what_it_would_lose(spark, posts, written):
+    options = lambda t: database.jdbc_options("jdbc:x", t)
+    with pytest.raises(ValueError, match="one table name"):
+        database.write_per_key(posts, "subreddit", ["a-b", "a_b", "007"], options, "raw")
+    with pytest.raises(ValueError, match="not listed: 007"):
+        database.write_per_key(posts, "subreddit", ["a-b"], options, "raw")
+    with pytest.raises(ValueError, match="not listed: None"):
+        database.write_per_key(posts.selectExpr("nullif(subreddit, '007') AS subreddit"), "subreddit", ["a-b"], options, "raw")
+    assert written == []
+
+
+def test_merge_statement_tests_the_version():
+    """The condition is run on rows of all orders of versions, NULL being the earliest."""
+    duckdb = pytest.importorskip("duckdb")
+    condition = database.merge_statement("t", "s", ["k", "a", "b"], "k", ["a", "b"]).partition(" WHERE ")[2]
+    values = [None, 1, 2]
+    for old in [(a, b) for a in values for b in values]:
+        for new in [(a, b) for a in values for b in values]:
+            text = ", ".join("NULL::INT" if x is None else f"{x}::INT" for x in (*old, *new))
+            found = duckdb.sql(f"SELECT {condition} FROM (SELECT 1) x, (SELECT {text}) v(a1, b1, a2, b2), LATERAL (SELECT a1 AS a, b1 AS b) t, LATERAL (SELECT a2 AS a, b2 AS b) excluded").fetchall()[0][0]
+            assert bool(found) == ([x or 0 for x in new] > [x or 0 for x in old])
+
+
 def test_arrays_become_text_for_databases(spark):
     row = database.flat_arrays(spark.createDataFrame([(1, ["a", "b"])], "i int, x array<string>")).first()
     assert tuple(row) == (1, "[a,b]")
