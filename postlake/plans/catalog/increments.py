@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from postlake.functions import text
 from postlake.operators import bronze
 from postlake.operators.states import Views
-from postlake.plans.catalog import registry, sql, tables, views  # noqa: F401
+from postlake.operators.titleindex import TitleIndex
+from postlake.plans.catalog import registry, sql, tables, texts, views  # noqa: F401
 from postlake.plans.catalog.registry import CATALOG, query
 from postlake.plans.increments import Increments
 from postlake.sources.testtables import FRAGMENTS
@@ -121,3 +122,25 @@ def rollup_subreddit_refreshed(spark: SparkSession, folder: str) -> DataFrame:
 @query(CATALOG["rollup_topic"].sql)
 def rollup_topic_refreshed(spark: SparkSession, folder: str) -> DataFrame:
     return _views(spark, folder).view("topic_rollup", at=F.lit(views.MADE_AT).cast("timestamp"))
+
+
+def _titles(spark: SparkSession, folder: str) -> TitleIndex:
+    """An index of all titles, added in two loads."""
+
+    def write(root: str) -> None:
+        found = TitleIndex(spark, root)
+        posts = registry.raw_posts(spark, folder).select("post_id", "title")
+        for load in (0, 1):
+            found.add(f"load_{load}", posts.filter(F.col("post_id").cast("long") % 2 == load))
+
+    return TitleIndex(spark, registry._once(spark, folder, "titles", write))
+
+
+@query(CATALOG["title_search"].sql)
+def title_search_indexed(spark: SparkSession, folder: str) -> DataFrame:
+    return _titles(spark, folder).search(registry.raw_posts(spark, folder), ["the", "of"]).select("post_id", "title")
+
+
+@query(CATALOG["title_search_any"].sql)
+def title_search_any_indexed(spark: SparkSession, folder: str) -> DataFrame:
+    return _titles(spark, folder).search(registry.raw_posts(spark, folder), ["der", "que"], every=False).select("post_id", "title")
