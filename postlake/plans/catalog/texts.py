@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from postlake import fixed
 from postlake.functions import features, text
-from postlake.operators import search, silver, warehouse
+from postlake.operators import lexicons, search, silver, warehouse
 from postlake.plans.catalog import registry, sql
 from postlake.plans.catalog.registry import query
 from postlake.sources import testtables
@@ -185,18 +185,45 @@ def title_search_any(spark: SparkSession, folder: str) -> DataFrame:
     return search.search(registry.raw_posts(spark, folder), ["der", "que"], every=False).select("post_id", "title")
 
 
+ITEM_WORDS = f"""SELECT word, 'item' || min(item_id) AS label FROM (SELECT item_id, unnest(list_filter(string_split(
+    regexp_replace(lower(text), '{fixed.NON_WORD}', ' ', 'g'), ' '), lambda x: x <> '')) AS word FROM benchmark) GROUP BY word"""
+
+
+def _item_words(spark: SparkSession, folder: str) -> DataFrame:
+    """A lexicon that is itself a table: the words of the benchmark items, each with the first item that has it."""
+    items = spark.read.parquet(f"{folder}/benchmark.parquet")
+    words = items.select(F.explode(text.tokens(F.col("text"))).alias("word"), "item_id")
+    return words.groupBy("word").agg(F.concat(F.lit("item"), F.min("item_id")).alias("label"))
+
+
 @query(f"""
-  WITH {sql.POSTS}, tokens AS (SELECT post_id, unnest({WORDS}) AS word FROM posts),
-  lexicon AS (SELECT DISTINCT unnest(list_filter(string_split(regexp_replace(lower(text), '{fixed.NON_WORD}',
-    ' ', 'g'), ' '), lambda x: x <> '')) AS word, 'item' || item_id AS label FROM benchmark)
+  WITH {sql.POSTS}, tokens AS (SELECT post_id, unnest({WORDS}) AS word FROM posts), lexicon AS ({ITEM_WORDS})
   SELECT DISTINCT post_id, label FROM tokens JOIN lexicon USING (word)
 """)
 def lexicon_matches(spark: SparkSession, folder: str) -> DataFrame:
-    """Posts against a lexicon that is itself a table: the words of the benchmark items."""
-    items = spark.read.parquet(f"{folder}/benchmark.parquet")
-    words = items.select(F.explode(text.tokens(F.col("text"))).alias("word"), "item_id")
-    lexicon = words.select("word", F.concat(F.lit("item"), "item_id").alias("label"))
-    return search.lexicon_matches(registry.raw_posts(spark, folder), lexicon)
+    return search.lexicon_matches(registry.raw_posts(spark, folder), _item_words(spark, folder))
+
+
+LONG_WORDS = f"""lexicon AS (SELECT * FROM ({ITEM_WORDS}) WHERE length(word) >= 6),
+  hits AS (SELECT doc_id, word, label FROM documents JOIN lexicon ON contains(lower(text), word))"""
+
+
+def _long_words(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """The words of six letters and more, and where whole lower-case texts have them, inside of other words as well."""
+    lexicon = _item_words(spark, folder).filter(F.length("word") >= 6)
+    docs = testtables.documents(spark, folder).select("doc_id", F.lower("text").alias("text"))
+    return lexicon, lexicons.substring_matches(docs, lexicon, "doc_id", "text")
+
+
+@query(f"WITH {LONG_WORDS} SELECT doc_id, word FROM hits")
+def lexicon_substrings(spark: SparkSession, folder: str) -> DataFrame:
+    return _long_words(spark, folder)[1].select("doc_id", "word")
+
+
+@query(f"WITH {LONG_WORDS} SELECT doc_id, label, count(*) AS words FROM hits GROUP BY doc_id, label")
+def lexicon_labels(spark: SparkSession, folder: str) -> DataFrame:
+    lexicon, matches = _long_words(spark, folder)
+    return lexicons.labels_found(matches, lexicon, "doc_id")
 
 
 @query(f"""
