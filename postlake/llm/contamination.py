@@ -56,23 +56,67 @@ def needed(sizes: range, sketch: int, threshold: float, miss: float) -> int:
     return max(1, asked)
 
 
+def lone(key: Column, text: Column) -> Column:
+    """What tells rows with a null key apart: a digest of the text; null where there is a key."""
+    return F.when(key.isNull(), F.md5(text))
+
+
 def item_table(items: DataFrame, key: str, text: str, length: int, sketch: int, threshold: float, miss: float) -> DataFrame:
     """Items with their exact shingles, and the sketch and the common values asked for by their size.
 
+    An item of fewer than ``length`` words is one shingle, its whole sequence of ``k`` words; it is also in ``short``.
     Items are partitioned by size, from one power of two to the next. The last partition that is worked out holds all
     larger ones; there, drawing from more shingles changes next to nothing.
     """
-    rows = items.select(items[key].alias("item"), words(items[text]).alias("words"))
-    rows = rows.withColumn("exact", shingles(length)).withColumn("n", F.size("exact")).filter("n > 0")
+    rows = items.select(items[key].alias("item"), lone(items[key], items[text]).alias("item_own"), words(items[text]).alias("words"))
+    rows = rows.filter(F.size("words") > 0).withColumn("k", F.least(F.size("words"), F.lit(length)))
+    none = F.array().cast("array<string>")
+    rows = rows.withColumn("short", F.when(F.col("k") < length, F.array(F.array_join("words", " "))).otherwise(none))
+    rows = rows.withColumn("exact", F.concat(shingles(length), "short")).withColumn("n", F.size("exact"))
     rows = rows.withColumn("band", F.least(F.floor(F.log2("n")), F.lit(11)).cast("int"))
     ask = F.lit(None).cast("int")
     for band in range(12):
         ask = F.when(F.col("band") == band, needed(range(1 << band, 2 << band), sketch, threshold, miss)).otherwise(ask)
     rows = rows.withColumn("asked", ask)
-    hashes = F.transform("exact", lambda s: F.xxhash64(*[F.split(s, " ")[i] for i in range(length)]))
+    # Behind the end of a short item ``get`` gives null, which the hash passes over.
+    hashes = F.transform("exact", lambda s: F.xxhash64(*[F.get(F.split(s, " "), i) for i in range(length)]))
     return rows.withColumn("sketch", F.slice(F.array_sort(hashes), 1, sketch)).drop("words")
 
 
+def _found(
+    docs: DataFrame, items: DataFrame, key: str, text: str, item_key: str, item_text: str, length: int, threshold: float, sketch: int, miss: float,
+) -> DataFrame:
+    """The leaks as ``doc``, ``own`` (see ``lone``), ``item``, ``n``, ``shared``."""
+    table = common.written(item_table(items, item_key, item_text, length, sketch, threshold, miss), "items")
+    values = common.written(table.select("item", "item_own", "asked", "k", F.explode("sketch").alias("h")), "sketches")
+    bound, lengths = values.agg(F.max("h"), F.sort_array(F.collect_set("k"))).first()  # at most ``length`` of them
+    own = lone(docs[key], docs[text])
+    rows = docs.select(docs[key].alias("doc"), own.alias("own"), words(docs[text]).alias("words"))
+    low = hashed(rows, ["doc", "own"], length)
+    for k in lengths:
+        if k < length:
+            low = low.unionAll(hashed(rows, ["doc", "own"], k))
+    low = low.filter(F.col("h") <= F.lit(bound if bound is not None else -(2**63)).cast("long"))
+    pair = ["doc", "own", "item", "item_own"]
+    hits = low.join(values.drop("k"), "h").groupBy(*pair, "asked", "h").agg(F.lit(1).alias("x"))
+    hits = hits.groupBy(*pair, "asked").agg(F.count("*").alias("common")).filter("common >= asked")
+    pairs = common.written(hits.select(*pair), "candidates")
+
+    wide = docs.select(docs[key].alias("d"), own.alias("o"), docs[text].alias("t"))
+    one_doc = F.col("d").eqNullSafe(F.col("doc")) & F.col("o").eqNullSafe(F.col("own"))
+    texts = wide.join(common.if_small(pairs), one_doc).select(*pair, words(F.col("t")).alias("words"))
+    exact = table.select(F.col("item").alias("i"), F.col("item_own").alias("io"), "exact", "short")
+    both = texts.join(exact, F.col("item").eqNullSafe(F.col("i")) & F.col("item_own").eqNullSafe(F.col("io")))
+    spaced = lambda x: F.concat(F.lit(" "), x, F.lit(" "))
+    held = F.filter("short", lambda s: F.contains(spaced(F.array_join("words", " ")), spaced(s)))
+    same = both.select(*pair, "exact", F.concat(F.array_intersect("exact", shingles(length)), held).alias("same"))
+    joined = same.groupBy(*pair).agg(
+        F.size(F.array_distinct(F.flatten(F.collect_set("same")))).alias("shared"),
+        F.size(F.array_distinct(F.flatten(F.collect_set("exact")))).alias("n"),
+    )
+    return joined.filter(F.col("shared") >= F.lit(threshold) * F.col("n"))
+
+
 def leaks(
     docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text",
     length: int = SHINGLE, threshold: float = THRESHOLD, sketch: int = SKETCH, miss: float = MISS,
@@ -88,37 +132,29 @@ def leaks(
     an item copied into a third of all documents gives a pair for each of them.
 
     The sketches are joined by value: Spark broadcasts them as long as their table is below its threshold and shuffles
-    otherwise. Items of fewer than ``length`` words have no shingles and are in no pair, nor are null and empty texts.
-    Rows with the same key are parts of one document (or item); null keys stay null. Empty tables give no pairs.
+    otherwise. An item of fewer than ``length`` words is one shingle, its whole sequence, and the texts are read once more
+    for every such number of words that there is. Null and empty texts are in no pair. Rows with the same key are parts
+    of one document (or item). Rows with a null key each stand alone, those of equal text together; the key stays null.
+    Empty tables give no pairs.
     """
-    spark = docs.sparkSession
-    table = common.written(item_table(items, item_key, item_text, length, sketch, threshold, miss), "items")
-    values = common.written(table.select("item", "asked", F.explode("sketch").alias("h")), "sketches")
-    bound = values.agg(F.max("h")).first()[0]
-    rows = docs.select(docs[key].alias("doc"), words(docs[text]).alias("words"))
-    low = hashed(rows, ["doc"], length).filter(F.col("h") <= F.lit(bound if bound is not None else -(2**63)).cast("long"))
-    hits = low.join(values, "h").groupBy("doc", "item", "asked", "h").agg(F.lit(1).alias("x"))
-    hits = hits.groupBy("doc", "item", "asked").agg(F.count("*").alias("common")).filter("common >= asked")
-    pairs = common.written(hits.select("doc", "item"), "candidates")
-
-    wide = docs.select(docs[key].alias("d"), docs[text].alias("t"))
-    texts = wide.join(common.if_small(pairs), F.col("d").eqNullSafe(F.col("doc"))).select("doc", "item", words(F.col("t")).alias("words"))
-    exact = table.select(F.col("item").alias("i"), "exact", "n")
-    both = texts.join(exact, F.col("item").eqNullSafe(F.col("i")))
-    same = both.select("doc", "item", "n", "exact", F.array_intersect("exact", shingles(length)).alias("same"))
-    joined = same.groupBy("doc", "item").agg(
-        F.size(F.array_distinct(F.flatten(F.collect_set("same")))).alias("shared"),
-        F.size(F.array_distinct(F.flatten(F.collect_set("exact")))).alias("n"),
+    found = _found(docs, items, key, text, item_key, item_text, length, threshold, sketch, miss)
+    return found.select(
+        F.col("doc").alias(key), F.col("item").alias(item_key), F.col("n").alias("n_item"), F.col("shared").alias("n_shared"),
+        (F.col("shared") / F.col("n")).alias("containment"),
     )
-    result = joined.withColumn("containment", F.col("shared") / F.col("n")).filter(F.col("shared") >= F.lit(threshold) * F.col("n"))
-    return result.select(F.col("doc").alias(key), F.col("item").alias(item_key), F.col("n").alias("n_item"), F.col("shared").alias("n_shared"), "containment")
 
 
-def drop_leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", **options) -> DataFrame:
-    """The rows of ``docs`` that hold no test item, with their columns unchanged."""
-    name = common.fresh(docs.columns, "leaked")
-    found = common.written(leaks(docs, items, key, **options).select(F.col(key).alias(name)).distinct(), "leaked")
-    return docs.join(common.if_small(found), docs[key].eqNullSafe(F.col(name)), "left_anti")
+def drop_leaks(
+    docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text",
+    length: int = SHINGLE, threshold: float = THRESHOLD, sketch: int = SKETCH, miss: float = MISS,
+) -> DataFrame:
+    """The rows of ``docs`` that hold no test item, with their columns unchanged. All rows of a document go, or none; a
+    row with a null key goes by its own text."""
+    leaked, own = common.fresh(docs.columns, "leaked"), common.fresh(docs.columns, "lone")
+    found = _found(docs, items, key, text, item_key, item_text, length, threshold, sketch, miss)
+    found = common.written(found.select(F.col("doc").alias(leaked), F.col("own").alias(own)).distinct(), "leaked")
+    same = docs[key].eqNullSafe(F.col(leaked)) & lone(docs[key], docs[text]).eqNullSafe(F.col(own))
+    return docs.join(common.if_small(found), same, "left_anti")
 
 
 def query(spark: SparkSession, folder: str) -> DataFrame:
@@ -127,12 +163,18 @@ def query(spark: SparkSession, folder: str) -> DataFrame:
 
 def _sql() -> str:
     split = "list_filter(regexp_split_to_array(lower(text), '[^\\p{L}\\p{N}]+'), lambda x: x <> '')"
-    grams = "SELECT DISTINCT {0}, array_to_string(ws[i:i + 4], ' ') AS s FROM (SELECT {0}, ws, unnest(range(1, len(ws) - 3)) AS i FROM (SELECT {0}, {1} AS ws FROM {2}))"
+    rows = "SELECT {0}, CASE WHEN {0} IS NULL THEN md5(text) END AS {1}, {2} AS ws FROM {3}"
+    join = "{0} IS NOT DISTINCT FROM {1}"
     return f"""
-WITH q AS ({grams.format('item_id', split, 'benchmark')}), n AS (SELECT item_id, count(*) AS n_item FROM q GROUP BY item_id),
-d AS (SELECT * FROM ({grams.format('doc_id', split, 'documents')}) WHERE s IN (SELECT s FROM q)),
-o AS (SELECT doc_id, item_id, count(*) AS n_shared FROM d JOIN q USING (s) GROUP BY ALL)
-SELECT doc_id, item_id, n_item, n_shared, n_shared / n_item AS containment FROM o JOIN n USING (item_id) WHERE n_shared >= {THRESHOLD} * n_item"""
+WITH qw AS ({rows.format('item_id', 'io', split, 'benchmark')}), dw AS ({rows.format('doc_id', 'own', split, 'documents')}),
+q AS (SELECT DISTINCT item_id, io, k, array_to_string(ws[i:i + k - 1], ' ') AS s
+      FROM (SELECT *, least(len(ws), {SHINGLE}) AS k, unnest(range(1, len(ws) - least(len(ws), {SHINGLE}) + 2)) AS i FROM qw WHERE len(ws) > 0)),
+n AS (SELECT item_id, io, count(*) AS n_item FROM q GROUP BY ALL), ks AS (SELECT DISTINCT k FROM q),
+d AS (SELECT DISTINCT doc_id, own, array_to_string(ws[i:i + k - 1], ' ') AS s
+      FROM (SELECT doc_id, own, ws, k, unnest(range(1, len(ws) - k + 2)) AS i FROM dw, ks WHERE len(ws) >= k)),
+o AS (SELECT doc_id, own, item_id, io, count(*) AS n_shared FROM (SELECT * FROM d WHERE s IN (SELECT s FROM q)) JOIN q USING (s) GROUP BY ALL)
+SELECT doc_id, o.item_id, n_item, n_shared, n_shared / n_item AS containment
+FROM o JOIN n ON {join.format('o.item_id', 'n.item_id')} AND {join.format('o.io', 'n.io')} WHERE n_shared >= {THRESHOLD} * n_item"""
 
 
 SQL = _sql()

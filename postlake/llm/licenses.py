@@ -144,8 +144,8 @@ def scan(docs: DataFrame, key: str = "doc_id", text: str = "text", templates=TEM
     Returns ``key``, ``line`` (from 1; 0 for a whole text of several lines), ``template`` (index), ``license``,
     ``n_bigrams``, ``n_shared`` and ``dice``. Bigrams are counted with their repeats, so the number of words gives the
     size, and the size bounds of the templates prune before any bigram is made. Of templates that fit equally well the
-    first one counts. Null and empty texts and texts of one word have no bigrams and no rows. Rows with equal keys are
-    scanned each, and equal results of them are given once; a null key stays null.
+    first one counts. Null and empty texts and texts of one word have no bigrams and no rows. Rows with equal or null keys are
+    scanned each, and those that are equal in key and text once; a null key stays null.
     """
     if len(templates) > MOST_TEMPLATES:
         raise ValueError(f"at most {MOST_TEMPLATES} templates, as they are broadcast")
@@ -162,23 +162,24 @@ def scan(docs: DataFrame, key: str = "doc_id", text: str = "text", templates=TEM
     table = spark.createDataFrame(rows, "anchor string, template int, license string, size int, lo int, hi int, bag array<struct<b:string,n:int>>")
 
     by_line = F.transform(F.split(docs[text], "\n"), lambda x, i: F.struct((i + 1).alias("line"), words(x).alias("words")))
-    lines = docs.select(docs[key].alias("k"), by_line.alias("lines"))
+    own = F.struct(F.xxhash64(docs[text]).alias("a"), F.xxhash64(F.lit(1), docs[text]).alias("b"))  # tells rows of one key apart
+    lines = docs.select(docs[key].alias("k"), own.alias("own"), by_line.alias("lines"))
     total = F.aggregate("lines", F.lit(0), lambda n, x: n + F.size(x["words"]))
     held = F.size(F.filter("lines", lambda x: F.size(x["words"]) > 0))
     whole = F.struct(F.lit(0).alias("line"), F.flatten(F.transform("lines", lambda x: x["words"])).alias("words"))
     fits = (held > 1) & total.between(least + 1, most + 1)
     lines = lines.withColumn("lines", F.when(fits, F.concat("lines", F.array(whole))).otherwise(F.col("lines")))
     # explode_outer: explode would have Spark filter on the array first and so make it twice.
-    units = lines.select("k", F.explode_outer("lines").alias("u")).select("k", "u.line", "u.words", (F.size("u.words") - 1).alias("n"))
+    units = lines.select("k", "own", F.explode_outer("lines").alias("u")).select("k", "own", "u.line", "u.words", (F.size("u.words") - 1).alias("n"))
     units = units.filter(F.col("n").between(least, most))
     units = units.withColumn("bigrams", F.zip_with(F.expr("slice(words, 1, greatest(n, 0))"), F.expr("slice(words, 2, greatest(n, 0))"), lambda a, b: F.concat_ws(" ", a, b)))
-    single = units.select("k", "line", "n", "bigrams", F.explode_outer("bigrams").alias("anchor"))
+    single = units.select("k", "own", "line", "n", "bigrams", F.explode_outer("bigrams").alias("anchor"))
     found = single.join(F.broadcast(table), "anchor").filter("n BETWEEN lo AND hi")
     shared = F.aggregate("bag", F.lit(0), lambda s, t: s + F.least(t["n"], F.size(F.filter("bigrams", lambda b: b == t["b"]))))
     found = found.withColumn("shared", shared).withColumn("dice", 2.0 * F.col("shared") / (F.col("n") + F.col("size")))
     found = found.filter(F.col("dice") >= threshold)
-    best = found.groupBy("k", "line", "n").agg(F.min(F.struct((-F.col("dice")).alias("d"), "template", "license", "shared")).alias("m"))
-    best = best.groupBy("k", "line").agg(F.min(F.struct("m.d", "m.template", "m.license", "m.shared", "n")).alias("m"))
+    best = found.groupBy("k", "own", "line", "n").agg(F.min(F.struct((-F.col("dice")).alias("d"), "template", "license", "shared")).alias("m"))
+    best = best.groupBy("k", "own", "line").agg(F.min(F.struct("m.d", "m.template", "m.license", "m.shared", "n")).alias("m"))
     return best.select(
         F.col("k").alias(key), "line", "m.template", "m.license", F.col("m.n").alias("n_bigrams"), F.col("m.shared").alias("n_shared"),
         (-F.col("m.d")).alias("dice"),
@@ -195,17 +196,18 @@ def _sql() -> str:
     grams = "SELECT {0}, ws[i] || ' ' || ws[i + 1] AS b, count(*) AS n FROM (SELECT *, unnest(range(1, len(ws))) AS i FROM {1}) GROUP BY ALL"
     return f"""
 WITH t AS (SELECT template, license, {split.format('body')} AS ws FROM (VALUES {quoted}) v(template, license, body)),
-l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS s, generate_subscripts(string_split(text, chr(10)), 1) AS line FROM documents),
-lw AS (SELECT doc_id, line, {split.format('s')} AS ws FROM l),
-w AS (SELECT doc_id, 0 AS line, {split.format('text')} AS ws FROM documents
-      WHERE doc_id IN (SELECT doc_id FROM lw WHERE len(ws) > 0 GROUP BY doc_id HAVING count(*) > 1)),
+x AS (SELECT row_number() OVER () AS row, doc_id, text FROM (SELECT DISTINCT doc_id, text FROM documents)),
+l AS (SELECT row, unnest(string_split(text, chr(10))) AS s, generate_subscripts(string_split(text, chr(10)), 1) AS line FROM x),
+lw AS (SELECT row, line, {split.format('s')} AS ws FROM l),
+w AS (SELECT row, 0 AS line, {split.format('text')} AS ws FROM x
+      WHERE row IN (SELECT row FROM lw WHERE len(ws) > 0 GROUP BY row HAVING count(*) > 1)),
 u AS (SELECT * FROM lw UNION ALL SELECT * FROM w),
-ug AS ({grams.format('doc_id, line', 'u')}), tg AS ({grams.format('template', 't')}),
-o AS (SELECT doc_id, line, template, sum(least(ug.n, tg.n)) AS shared FROM ug JOIN tg USING (b) GROUP BY ALL),
+ug AS ({grams.format('row, line', 'u')}), tg AS ({grams.format('template', 't')}),
+o AS (SELECT row, line, template, sum(least(ug.n, tg.n)) AS shared FROM ug JOIN tg USING (b) GROUP BY ALL),
 d AS (SELECT o.*, license, len(u.ws) - 1 AS n, 2.0::DOUBLE * shared / (len(u.ws) + len(t.ws) - 2) AS dice
-      FROM o JOIN u USING (doc_id, line) JOIN t USING (template)),
-r AS (SELECT *, row_number() OVER (PARTITION BY doc_id, line ORDER BY dice DESC, template) AS k FROM d WHERE dice >= {THRESHOLD})
-SELECT doc_id, line, template, license, n AS n_bigrams, shared AS n_shared, dice FROM r WHERE k = 1"""
+      FROM o JOIN u USING (row, line) JOIN t USING (template)),
+r AS (SELECT *, row_number() OVER (PARTITION BY row, line ORDER BY dice DESC, template) AS k FROM d WHERE dice >= {THRESHOLD})
+SELECT doc_id, line, template, license, n AS n_bigrams, shared AS n_shared, dice FROM r JOIN x USING (row) WHERE k = 1"""
 
 
 SQL = _sql()

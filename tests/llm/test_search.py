@@ -1,6 +1,8 @@
 """License scan, line dedup and decontamination: against SQL and on planted rows."""
 
+import duckdb
 import oracle
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -80,6 +82,44 @@ def test_leaks_on_planted_rows(make, spark):
     assert contamination.leaks(docs, items.limit(0)).collect() == []
 
 
+def from_sql(sql, docs, items=None):
+    con = duckdb.connect()
+    for name, df in (("documents", docs), ("benchmark", items)):
+        if df is not None:
+            rows = pa.table({c: [r[c] for r in df.collect()] for c in df.columns})  # noqa: F841
+            con.execute(f"CREATE TABLE {name} AS SELECT * FROM rows")
+    return sorted(map(str, con.execute(sql).fetchall()))
+
+
+def test_short_items_and_rows_without_keys(make, spark):
+    """Items of one to four words; null-key rows by themselves; query, stage and SQL agree."""
+    long = " ".join(f"v{i}" for i in range(20))
+    rows = [(1, "What is it now?"), (2, "xylophone"), (3, "red green blue"), (4, long), (4, "tail end"), (None, "odd one"), (None, "even one"), (5, " . ")]
+    items = spark.createDataFrame(rows, "item_id long, text string")
+    texts = ["so what is it, NOW then", "what is it not now", "xylophone", "xylophones", "the red green", "red green blue", long, long + " tail end", "odd one", None, ""]
+    docs = make(texts)
+    alone = make([long + " tail end", "clean text of nobody", "xylophone", "xylophone", None]).withColumn("doc_id", F.lit(None).cast("long"))
+    parts = make(["v0 v1 v2 v3 v4 v5 v6 v7 v8 v9 v10 v11", " ".join(f"v{i}" for i in range(7, 20)) + " tail end"]).withColumn("doc_id", F.lit(20).cast("long"))
+    docs = docs.unionAll(alone).unionAll(parts)
+    got = contamination.leaks(docs, items).select("doc_id", "item_id", "n_item", "n_shared", "containment").collect()
+    found = {(r.doc_id, r.item_id, r.n_shared, r.n_item) for r in got}
+    assert found == {(0, 1, 1, 1), (2, 2, 1, 1), (5, 3, 1, 1), (6, 4, 16, 17), (7, 4, 17, 17), (8, None, 1, 1), (None, 4, 17, 17), (None, 2, 1, 1), (20, 4, 17, 17)}
+    assert len(got) == len(found)
+    assert sorted(map(str, map(tuple, got))) == from_sql(contamination.SQL, docs, items)
+    kept = contamination.drop_leaks(docs, items).collect()
+    assert sorted((r.doc_id is None, r.text or "") for r in kept) == sorted(
+        [(False, texts[i] or "") for i in (1, 3, 4, 9, 10)] + [(True, "clean text of nobody"), (True, "")])
+
+
+def test_licenses_of_rows_with_one_key_or_none(make):
+    texts = ["released under the MIT license", "licensed under CC BY 4.0", "licensed under CC BY 4.0", "Licensed under CC BY-SA 4.0.", "x\nreleased under the MIT license"]
+    for key in (7, None):
+        docs = make(texts).withColumn("doc_id", F.lit(key).cast("long"))
+        got = [tuple(r) for r in licenses.scan(docs).collect()]
+        assert sorted((r[1], r[3]) for r in got) == [(0, "MIT"), (1, "CC-BY-4.0"), (1, "CC-BY-SA-4.0"), (1, "MIT"), (2, "MIT")]
+        assert sorted(map(str, got)) == from_sql(licenses.SQL, docs)
+
+
 def test_asked_values():
     assert contamination.needed(range(4, 8), 16, 0.8, 1e-9) >= 3
     assert 1 <= contamination.needed(range(32, 64), 16, 0.8, 1e-9) <= 8
