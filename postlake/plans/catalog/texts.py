@@ -15,7 +15,8 @@ from postlake.sources.testtables import FRAGMENTS
 
 
 def _cleaned(spark: SparkSession, folder: str) -> DataFrame:
-    return silver.add_clean_text(registry.raw_posts(spark, folder))
+    """Posts with their cleaned texts; a document is cleaned once, however many posts have it."""
+    return testtables.posts(spark, folder, silver.add_clean_text)
 
 
 CLEANED = f"""{sql.POSTS}, cleaned AS (
@@ -126,7 +127,7 @@ def entities_whole_words(spark: SparkSession, folder: str) -> DataFrame:
     cast(length(title_cleaned) AS int) AS title_char_count FROM cleaned
 """)
 def text_features(spark: SparkSession, folder: str) -> DataFrame:
-    featured = silver.add_text_features(_cleaned(spark, folder))
+    featured = testtables.posts(spark, folder, lambda texts: silver.add_text_features(silver.add_clean_text(texts)))
     return featured.select("post_id", "title_word_count", "body_word_count", "has_body", "title_char_count")
 
 
@@ -136,7 +137,9 @@ def text_features(spark: SparkSession, folder: str) -> DataFrame:
 """)
 def text_features_compat(spark: SparkSession, folder: str) -> DataFrame:
     """The counts in which an empty text has one word."""
-    featured = silver.add_text_features(_cleaned(spark, folder), reference_compat=True)
+    featured = testtables.posts(
+        spark, folder, lambda texts: silver.add_text_features(silver.add_clean_text(texts), reference_compat=True)
+    )
     return featured.select("post_id", "title_word_count", "body_word_count", "has_body")
 
 
