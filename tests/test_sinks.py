@@ -190,3 +190,18 @@ def test_merge_keeps_the_latest_arrival(spark, written):
     df = spark.createDataFrame(rows, "post_id string, t string, score int").selectExpr("post_id", "cast(t AS timestamp) AS kafka_ingestion_time", "score")
     kept = stream_sinks.dedup.drop_duplicates(df).first()
     assert kept["score"] == 10
+
+
+def test_bronze_moves_no_texts_and_exports_may_be_compressed(spark, posts, tmp_path):
+    built = bronze.build(posts, "b")
+    writes = str(tmp_path / "bronze")
+    files.write_bronze(built.repartition(3), writes)
+    stored = [str(x) for x in (tmp_path / "bronze").rglob("*.parquet")]
+    assert stored and all(x.endswith(".zstd.parquet") for x in stored)
+    assert spark.read.schema(built.schema).parquet(writes).count() == posts.count()
+    files.write_jsonl(posts, str(tmp_path / "j"), codec="gzip")
+    files.write_csv(posts, str(tmp_path / "c"), codec="gzip")
+    assert list((tmp_path / "j").glob("*.json.gz")) and list((tmp_path / "c").glob("*.csv.gz"))
+    rows = lambda df: sorted(map(str, df.collect()))
+    assert rows(spark.read.schema(posts.schema).json(str(tmp_path / "j"))) == rows(posts)
+    assert rows(files.read_csv(spark, str(tmp_path / "c"), posts.schema)) == rows(posts)
