@@ -30,7 +30,9 @@ def lexicon_matches(
 
     ``lexicon`` has columns word and label. The join carries no broadcast hint: Spark broadcasts the
     lexicon while it is below ``spark.sql.autoBroadcastJoinThreshold`` and shuffles it beyond that, with
-    words that are hot split by the adaptive skew join.
+    words that are hot split by the adaptive skew join. Rows are dealt out by key before their words are looked
+    up: with a broadcast lexicon the many labels of a key then meet in one task, and none are shuffled.
     """
-    words = posts.select(key, F.explode(text.tokens(F.col(column))).alias("word"))
+    found = posts.select(key, text.tokens(F.col(column)).alias("__words")).repartition(key)
+    words = found.select(key, F.explode("__words").alias("word"))
     return words.join(lexicon.select("word", "label"), "word").select(key, "label").distinct()

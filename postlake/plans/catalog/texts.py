@@ -200,11 +200,17 @@ def _item_words(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query(f"""
-  WITH {sql.POSTS}, tokens AS (SELECT post_id, unnest({WORDS}) AS word FROM posts), lexicon AS ({ITEM_WORDS})
+  WITH {sql.POSTS}, tokens AS (SELECT post_id, unnest({WORDS}) AS word FROM posts),
+  lexicon AS (SELECT DISTINCT unnest(list_filter(string_split(regexp_replace(lower(text), '{fixed.NON_WORD}',
+    ' ', 'g'), ' '), lambda x: x <> '')) AS word, 'item' || item_id AS label FROM benchmark)
   SELECT DISTINCT post_id, label FROM tokens JOIN lexicon USING (word)
 """)
 def lexicon_matches(spark: SparkSession, folder: str) -> DataFrame:
-    return search.lexicon_matches(registry.raw_posts(spark, folder), _item_words(spark, folder))
+    """Posts against a lexicon that is itself a table: the words of the benchmark items, each with every item that has it."""
+    items = spark.read.parquet(f"{folder}/benchmark.parquet")
+    words = items.select(F.explode(text.tokens(F.col("text"))).alias("word"), "item_id")
+    lexicon = words.select("word", F.concat(F.lit("item"), "item_id").alias("label"))
+    return search.lexicon_matches(registry.raw_posts(spark, folder), lexicon)
 
 
 LONG_WORDS = f"""lexicon AS (SELECT * FROM ({ITEM_WORDS}) WHERE length(word) >= 6),

@@ -1,5 +1,6 @@
 """Substring matches of large lexicons: against plain Python, against the column functions, plans."""
 
+import datetime
 import random
 
 import pytest
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 from postlake import fixed
 from postlake.functions import text
 from postlake.operators import lexicons
+from postlake.plans.catalog import CATALOG
 
 
 def plain(rows, words):
@@ -70,3 +72,14 @@ def test_a_lexicon_of_100000_names(spark, folder):
     plan = matches._jdf.queryExecution().executedPlan().toString()
     assert not any(x in plan for x in ("Python", "Arrow", "Cartesian", "NestedLoop"))
     assert got(matches) == {(r.doc_id, f"name{r.doc_id * 7};"): 1 for r in docs.select("doc_id").collect()}
+
+
+def test_a_word_has_the_labels_of_all_items_with_it(spark, tmp_path):
+    at = datetime.datetime(2024, 1, 1)
+    spark.createDataFrame([(0, at, 1, "a", 1.0), (1, at, 1, "a", 1.0)], "event_id long, ts timestamp, user_id long, event_type string, value double").write.parquet(f"{tmp_path}/events.parquet")
+    spark.createDataFrame([(0, "Red fish\nbody"), (1, None)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, "red"), (2, "a RED, red one"), (3, "fish"), (4, "body"), (5, None)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    found = CATALOG["lexicon_matches"].run(spark, str(tmp_path))
+    assert sorted(map(tuple, found.collect())) == [("0", "item1"), ("0", "item2"), ("0", "item3")]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "label" not in "".join(x for x in plan.splitlines() if "Exchange hashpartitioning" in x)
