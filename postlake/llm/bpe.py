@@ -5,6 +5,7 @@ from __future__ import annotations
 import functools
 import json
 from array import array
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -171,8 +172,9 @@ def encode(text: Column | str, path: str | None = None) -> Column:
     """
     path = path or common.tokenizer_path(VOCABULARY)
 
-    def run(texts: pa.Array) -> pa.Array:
-        return _encoded(texts, coder(path))
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in common.slices(batches):
+            yield _encoded(texts, coder(path))
 
     return common.struct_column(common.arrow_udf(run, "array<int>"), text)
 
@@ -181,21 +183,25 @@ def decode(ids: Column | str, path: str | None = None) -> Column:
     """The text of each list of ids; bytes that are no UTF-8 become U+FFFD. Null gives the empty text."""
     path = path or common.tokenizer_path(VOCABULARY)
 
-    def run(lists: pa.Array) -> pa.Array:
-        return _decoded(lists, coder(path))
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for lists in common.slices(batches):
+            yield _decoded(lists, coder(path))
 
     return common.struct_column(common.arrow_udf(run, "string"), ids)
 
 
 def round_trip(text: Column | str, path: str | None = None) -> Column:
-    """``encode`` and ``decode`` of each text as a struct (``ids``, ``decoded``), in one Python worker instead of two."""
+    """``encode`` and ``decode`` of each text as a struct (``ids``, ``decoded``), in one Python worker instead of two.
+
+    Ids take more bytes than the text. Results go out slice by slice, so no task holds those of a whole batch.
+    """
     path = path or common.tokenizer_path(VOCABULARY)
 
-    def run(texts: pa.Array) -> pa.Array:
-        ids = _encoded(texts, coder(path))
-        decoded = _decoded(ids, coder(path))
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in common.slices(batches):
+            ids = _encoded(texts, coder(path))
+            yield pa.StructArray.from_arrays([ids, _decoded(ids, coder(path))], ["ids", "decoded"])
         common.give_back()
-        return pa.StructArray.from_arrays([ids, decoded], ["ids", "decoded"])
 
     return common.struct_column(common.arrow_udf(run, "struct<ids:array<int>,decoded:string>"), text)
 

@@ -7,6 +7,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import zstandard
 from pyspark.sql import functions as F
@@ -90,6 +91,14 @@ def test_decoding_by_itself(make):
     assert rows(df, "doc_id", "back") == {i: (t or "",) for i, t in enumerate(ODD)}
 
 
+def test_bpe_results_go_out_in_slices(monkeypatch):
+    monkeypatch.setattr(common, "arrow_udf", lambda run, kind: lambda *columns: run)
+    texts = pa.array([f"text {i}" for i in range(3 * common.SLICE)])
+    parts = list(bpe.round_trip("text")(iter([texts, texts.slice(0, 0), texts.slice(0, 5)])))
+    assert max(map(len, parts)) <= common.SLICE
+    assert [x["decoded"] for part in parts for x in part.to_pylist()] == texts.to_pylist() + texts.to_pylist()[:5]
+
+
 def test_forced_boundaries():
     coder = bpe.Coder(common.tokenizer_path(bpe.VOCABULARY))
     rng = random.Random(2)
