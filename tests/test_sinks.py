@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from postlake import schema, session
 from postlake.operators import bronze, silver, summaries
 from postlake.plans import layers
+from postlake.plans.catalog import exports
 from postlake.sinks import database, files
 from postlake.sources import messages
 from postlake.streaming import sinks as stream_sinks
@@ -205,3 +206,12 @@ def test_bronze_moves_no_texts_and_exports_may_be_compressed(spark, posts, tmp_p
     rows = lambda df: sorted(map(str, df.collect()))
     assert rows(spark.read.schema(posts.schema).json(str(tmp_path / "j"))) == rows(posts)
     assert rows(files.read_csv(spark, str(tmp_path / "c"), posts.schema)) == rows(posts)
+
+
+def test_bronze_of_shared_texts_is_written_by_smaller_tasks(spark, folder):
+    own, careful = session.tuned_copy(spark), session.tuned_copy(spark)
+    careful.conf.set(exports.ADVISORY, "8m")
+    for one in (own, careful):
+        exports._bronze_table(one, folder)
+    assert (own.conf.get(exports.ADVISORY), careful.conf.get(exports.ADVISORY)) == ("32m", "8m")
+    assert exports.ADVISORY not in spark.conf.getAll
