@@ -147,3 +147,27 @@ def test_long_written_forms_lie_in_one_region():
     # long runs of triggers, dots and letters take linear time
     for text in ("a1" * 200_000, "a." * 200_000 + "1", "1.a dot " * 100_000, "(at)a" * 100_000, "plain words " * 10):
         assert all(a < b for a, b in pii.regions(text))
+
+
+def test_windows_cover_the_whole_text(tagger, monkeypatch):
+    """Forms that the check accepts are looked at wherever they stand, and a window left out would have added nothing."""
+    for text in ("plain words without any sign " * 20, "x", "write to joe at example.com or not " + "words " * 40):
+        assert {j for a, b, _, _ in pii.windows(text) for j in range(a, b)} == set(range(len(text)))
+    forms = ["joe at example.com", "ann.lee at host[dot]org", "bob (at) site{dot}net", "joe at example dot com", "sue[at]mail.example.org", "555 867 5309", "(017) 555-7713", "12.34.56.78.90", "a at b.c"]
+    rng = random.Random(8)
+    word = lambda: rng.choice(["look", "at", "dot", "(at)", "at the", "12", "7.", "me.", "and", "é", "3-4"])
+    texts = [" ".join([*(word() for _ in range(rng.randrange(60))), rng.choice(forms), *(word() for _ in range(rng.randrange(60)))]) for _ in range(150)]
+    for text in texts:
+        possible = pii.may_have_form(text)
+        for a, b, _, _ in pii.windows(text):
+            part = text[max(0, a - 2) : b + 2]
+            written = pii._WRITTEN_EMAIL.search(part) or any(sum(c.isdigit() for c in m.group()) >= 9 for m in pii._WRITTEN_PHONE.finditer(part))
+            assert possible(a, b) or not written, part
+    base = [pii.base_spans(t) for t in texts]
+    found = pii.tagged(texts, base, tagger)
+    assert sum(map(len, found)) > 20
+    assert any(text[a:b] == "joe at example.com" for text, spans in zip(texts, found) for a, _, b in spans)
+    monkeypatch.setattr(pii, "may_have_form", lambda text: lambda a, b: True)
+    assert pii.tagged(texts, base, tagger) == found
+    for text in ("a at b" * 100_000, "at " * 100_000, "a at " + "b" * 300_000):
+        pii.may_have_form(text)
