@@ -237,3 +237,22 @@ def test_a_chain_is_cut_at_a_long_gap_only():
     points = [(10 * i, 10 * i) for i in range(40)] + [(600 + 10 * i, 600 + 10 * i) for i in range(20)]
     assert [(c[0][0], c[-1][0]) for c in passages.chains(points, max_gap=48)] == [(0, 390), (600, 790)]
     assert len(list(passages.chains(points, max_gap=300))) == 1
+
+
+def test_passages_that_the_first_documents_of_their_seeds_lack(make):
+    """Two early documents have a part each, too short for a passage; the whole of it is in a third one, and in later ones."""
+    rng = random.Random(21)
+    words = vocabulary(6)
+    some = lambda n: [rng.choice(words) for _ in range(n)]
+    for size in (50, 60, 80):
+        whole = some(size)
+        half = size // 2 + 5
+        rows = [
+            some(60) + whole[:half] + some(60), some(60) + whole[-half:] + some(60), some(30) + whole + some(30),
+            some(10) + whole + some(20), some(70), some(5) + whole,
+        ]
+        found = passages.passages(make([" ".join(x) for x in rows])).collect()
+        got = {(r.doc_id, r.source_id, r.start, r.end, r.source_start, r.n_equal) for r in found}
+        assert (3, 2, 10, 10 + size, 30, size) in got, size
+        assert got & {(5, 2, 5, 5 + size, 30, size), (5, 3, 5, 5 + size, 10, size)}, size  # a seed at the edge may come first in the fourth
+        assert all(a in (3, 5) and b in (2, 3) and e - s >= 50 for a, b, s, e, _, _ in got), size
