@@ -1,9 +1,11 @@
 import datetime
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
-from postlake.operators import bronze, silver
+from postlake import schema
+from postlake.operators import bronze, dedup, silver
 from postlake.plans.catalog import registry
 from postlake.sources import testtables
 from postlake.sources.testtables import FRAGMENTS
@@ -61,3 +63,20 @@ def test_queries_prepare_texts_before_they_join_them(spark, apart):
     # cleaning stands below the join
     plan = prepared._jdf.queryExecution().optimizedPlan().toString()
     assert plan.index("Join") < plan.index("regexp_replace")
+
+
+def test_latest_of_stored_rows_equals_that_of_whole_rows(spark, tmp_path):
+    """Equal rows, ties that only a text or a column after it settles, nulls, and rows without a key."""
+    rng = random.Random(17)
+    rows = [
+        (rng.choice(["p1", "p2", "p3", "p4", None]), rng.choice(["x", None]), rng.choice(["t1", "", None]), rng.choice(["b1", "b2", None]),
+         rng.choice(["u", None]), 1704067200, rng.choice([None, 3]))
+        for _ in range(300)
+    ]
+    posts = bronze.build(spark.createDataFrame(rows, schema.POST), "batch", ingested_at=F.lit("2024-02-01").cast("timestamp")).cache()
+    want = sorted(map(repr, dedup.drop_duplicates(posts).collect()))
+    for name, df in (("ties", posts), ("none", posts.limit(0)), ("twice", posts.limit(3).unionAll(posts.limit(3)))):
+        found = dedup.drop_duplicates(df, stage=f"{tmp_path}/{name}")
+        assert sorted(map(repr, found.collect())) == sorted(map(repr, dedup.drop_duplicates(df).collect()))
+    plan = dedup.latest_stored(spark.read.schema(posts.schema).parquet(f"{tmp_path}/ties"))._jdf.queryExecution().executedPlan().toString()
+    assert len(want) == 4 and "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
